@@ -45,6 +45,25 @@ CONSISTENCY = ConsistencyRules(
     ),
 )
 
+CUSTOMER360_CONTRACT = Contract(
+    (
+        Field(KEY, "bigint", unique=True),
+        Field("segment"),
+        Field("region"),
+        Field("contract", allowed=("Month-to-Month", "One Year", "Two Year")),
+        Field("payment_method", allowed=("Bank Withdrawal", "Credit Card", "Mailed Check")),
+        Field("internet_service", allowed=("Yes", "No")),
+        Field("internet_type", nullable=True, allowed=("Cable", "DSL", "Fiber Optic")),
+        *[Field(s, nullable=True, allowed=("Yes", "No")) for s in SERVICES],
+        Field("tenure_in_months", "int", low=0),
+        Field("recency_days", "int", low=0),
+        Field("n_orders", "int", low=1),
+        Field("total_charges", "double", low=0),
+        Field("monthly_charge", "double"),
+        Field("churn_label", allowed=("Yes", "No")),
+    )
+)
+
 ORDERS_CONTRACT = Contract(
     (
         Field("o_orderkey", "bigint", unique=True),

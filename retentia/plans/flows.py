@@ -50,7 +50,10 @@ class Workspace:
     model_name: str = "customer-churn"
     key: str = "Customer ID"
     features: FeatureSpec = field(default_factory=FeatureSpec)
+    contract: Contract = CUSTOMER_CONTRACT
     high_cardinality: tuple[str, ...] = ("City",)
+    contract_column: str = "Contract"
+    charge_column: str = "Monthly Charge"
 
     @property
     def processed(self) -> str:
@@ -223,16 +226,15 @@ def score_customers(
     Rows may use either spelling of the column names and need a key column; a row that breaks the
     request contract is rejected with its reasons while the others are scored.
     """
-    contract = scoring_contract(ws.features)
+    contract = scoring_contract(ws.features, ws.contract)
     version = ws.registry(spark).champion(ws.model_name)
     named = with_original_names(customers, contract)
-    marked_key = [ws.key]
-    keyed = Contract((*contract.fields, *[f for f in CUSTOMER_CONTRACT.fields if f.name == ws.key]))
-    clean, rejected = quarantine(named.select(*contract.names, *marked_key), keyed)
+    keyed = Contract((*contract.fields, *ws.contract.subset([ws.key]).fields))
+    clean, rejected = quarantine(named.select(*keyed.names), keyed)
     prepared = add_features(clean, ws.features)
     model = load_model(ws.champion)
     scored = with_retention_value(
-        score(model, prepared, version), value, "Contract", "Tenure in Months", "Monthly Charge", "churn_probability"
+        score(model, prepared, version), value, ws.contract_column, ws.features.tenure_column, ws.charge_column, "churn_probability"
     )
     if explain:
         explained = with_tree_explanation(model, prepared, ws.key)

@@ -173,7 +173,13 @@ oracle(
         for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     ),
 )
-oracle("profile_constant", "SELECT * FROM (VALUES ('quarter'), ('country')) AS t(\"column\")")
+oracle(
+    "profile_constant",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\" FROM wide HAVING count(DISTINCT {c}) = 1" for c in ["o_orderstatus", "o_orderpriority", "o_custkey", "quarter", "country"]
+    ),
+    "wide AS (SELECT *, 'Q3' AS quarter, 'US' AS country FROM orders)",
+)
 oracle(
     "profile_duplicates",
     "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, source)",
@@ -434,6 +440,14 @@ oracle(
     base=True,
 )
 
+oracle(
+    "dataset_sides",
+    """SELECT CASE WHEN rn <= n - n_train THEN 'test' ELSE 'train' END AS side, cls AS churn_label, count(*) AS n, CAST(sum(customer_id) AS BIGINT) AS id_sum
+       FROM ranked JOIN quotas USING (cls) GROUP BY 1, 2""",
+    _split("scored", "churn", "customer_id"),
+    base=True,
+)
+
 # ---- drift ------------------------------------------------------------------------------------------
 
 
