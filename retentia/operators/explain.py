@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from itertools import chain
 
 import numpy as np
@@ -12,6 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from retentia.functions.scalars import direction
 from retentia.operators.preprocess import FEATURES, encoded_features
@@ -159,25 +160,19 @@ def tree_contributions(x: np.ndarray, leaves: Sequence) -> np.ndarray:
     return out
 
 
-def with_tree_explanation(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
-    """(key, contributions, base_value) for a pipeline that ends in boosted trees, in log-odds.
+def with_tree_explanation(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Add ``contributions`` and ``base_value`` for a pipeline that ends in boosted trees, in log-odds.
 
     Trees go to the tasks as one broadcast of model size; rows stay where they are.
     """
-    spark = df.sparkSession
     encoder, learner = model.stages[-2], model.stages[-1]
-    leaves = leaf_paths(*tree_nodes(spark, learner))
+    leaves = leaf_paths(*tree_nodes(df.sparkSession, learner))
     base = float(sum(v * math.prod(z for _, z, _ in path) for v, path in leaves))
-    shared = spark.sparkContext.broadcast(leaves)
-    rows = encoder.transform(df).select(key, vector_to_array(FEATURES).alias("x"))
-    key_type = df.schema[key].dataType.simpleString()
+    shared = df.sparkSession.sparkContext.broadcast(leaves)
 
-    def explain(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in blocks:
-            if len(block):
-                values = tree_contributions(np.stack(block["x"].to_numpy()), shared.value)
-                yield pd.DataFrame({key: block[key], "values": list(values)})
+    def explain(x: pd.Series) -> pd.Series:
+        return pd.Series(list(tree_contributions(np.stack(x.to_numpy()), shared.value)) if len(x) else [])
 
-    explained = rows.mapInPandas(explain, f"`{key}` {key_type}, values array<double>")
+    values = F.pandas_udf(explain, ArrayType(DoubleType()))(vector_to_array(FEATURES))
     names = F.array(*[F.lit(n) for n, _, _ in encoded_features(encoder)])
-    return explained.select(key, F.map_from_arrays(names, "values").alias("contributions"), F.lit(base).alias("base_value"))
+    return encoder.transform(df).select(*df.columns, F.map_from_arrays(names, values).alias("contributions"), F.lit(base).alias("base_value"))

@@ -233,12 +233,11 @@ def score_customers(
     clean, rejected = quarantine(named.select(*keyed.names), keyed)
     prepared = add_features(clean, ws.features)
     model = load_model(ws.champion)
+    if explain:
+        prepared = with_tree_explanation(model, prepared)
     scored = with_retention_value(
         score(model, prepared, version), value, ws.contract_column, ws.features.tenure_column, ws.charge_column, "churn_probability"
     )
-    if explain:
-        explained = with_tree_explanation(model, prepared, ws.key)
-        scored = scored.join(explained, ws.key)
     return scored, rejected
 
 

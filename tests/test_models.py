@@ -127,8 +127,7 @@ def log_odds(p):
 def test_tree_contributions_add_up_to_the_log_odds(spark, family):
     df = signal_frame(spark)
     model = models.fit_family(family, df, "churn", TREES, skip=["id"])
-    scored = models.score(model, df).select("id", "churn_probability")
-    for r in with_tree_explanation(model, df, "id").join(scored, "id").collect():
+    for r in models.score(model, with_tree_explanation(model, df)).collect():
         assert r["base_value"] + sum(r["contributions"].values()) == pytest.approx(log_odds(r["churn_probability"]), abs=1e-6)
 
 
