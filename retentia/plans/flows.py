@@ -63,14 +63,6 @@ class Workspace:
     def reports(self) -> str:
         return f"{self.root}/reports"
 
-    @property
-    def challenger(self) -> str:
-        return f"{self.root}/models/challenger"
-
-    @property
-    def champion(self) -> str:
-        return f"{self.root}/models/champion"
-
     @property
     def params(self) -> str:
         return f"{self.root}/models/best_params"
@@ -80,7 +72,7 @@ class Workspace:
 
 
 def build_dataset(customers: DataFrame, ws: Workspace, test_size: float = 0.2, seed: int = 42) -> None:
-    """Feature table, exact stratified split, two parquet datasets. The key stays for later splits."""
+    """Feature table, exact stratified split, one parquet dataset with both sides. The key stays for later splits."""
     table = build_feature_table(customers, ws.features, keep=[ws.key])
     save_split(stratified_split(table, ws.features.target, ws.key, test_size, seed), ws.processed)
 
@@ -122,7 +114,6 @@ def _register(spark: SparkSession, ws: Workspace, model: PipelineModel, params:
     metrics = _metrics_row(evaluate(scored, [], label, "churn_prediction", "churn_probability"))
     registry = ws.registry(spark)
     run_id = registry.log_run("training", run, params, metrics)
-    save_model(model, ws.challenger)
     path = f"{ws.root}/models/{run_id}"
     save_model(model, path)
     return registry.register(ws.model_name, run_id, path)
@@ -176,14 +167,16 @@ def retrain_check(spark: SparkSession, ws: Workspace, rule: RetrainRule = Retrai
 def promote(spark: SparkSession, ws: Workspace, rule: PromotionRule = PromotionRule()) -> DataFrame:
     """Compare the newest version with the champion on the test rows and move the alias if it wins.
 
-    Without a champion the newest version is promoted without a comparison.
+    Without a champion the newest version is promoted without a comparison. A version's files never
+    change, so moving the alias is all a promotion does.
     """
     registry = ws.registry(spark)
     challenger, champion = registry.latest(ws.model_name), registry.champion(ws.model_name)
     if challenger is None:
         raise LookupError(f"{ws.model_name} has no registered version")
-    if champion is not None and not path_exists(spark, ws.champion):
-        raise MissingArtifact(f"a champion is registered but {ws.champion} does not exist")
+    champion_path = registry.version_path(ws.model_name, champion) if champion is not None else None
+    if champion_path and not path_exists(spark, champion_path):
+        raise MissingArtifact(f"a champion is registered but {champion_path} does not exist")
     _, test = load_split(spark, ws.processed)
     label = ws.features.target
     segments = list(rule.segment_columns)
@@ -195,7 +188,7 @@ def promote(spark: SparkSession, ws: Workspace, rule: PromotionRule = PromotionR
         overall = frame.where(F.col("segment_column") == OVERALL)
         return overall.select(F.lit(name).alias("role"), F.lit(version).cast("bigint").alias("version"), *METRICS)
 
-    new = measured(ws.challenger).persist()
+    new = measured(registry.version_path(ws.model_name, challenger)).persist()
     roles = role(new, "challenger", challenger)
     metrics = {f"challenger_{k}": v for k, v in _metrics_row(roles).items()}
     if champion is None:
@@ -203,7 +196,7 @@ def promote(spark: SparkSession, ws: Workspace, rule: PromotionRule = PromotionR
             [(True, "bootstrap", None, [])], "promote boolean, reason string, aggregate_margin double, regressions array<string>"
         )
     else:
-        old = measured(ws.champion).persist()
+        old = measured(champion_path).persist()
         decision = promotion_decision(old, new, rule)
         roles = roles.unionByName(role(old, "champion", champion))
         metrics |= {f"champion_{k}": v for k, v in _metrics_row(role(old, "champion", champion)).items()}
@@ -213,7 +206,6 @@ def promote(spark: SparkSession, ws: Workspace, rule: PromotionRule = PromotionR
     registry.log_run("promotion", "promotion-decision", params, metrics)
     save_report(roles, f"{ws.reports}/promotion", ["role"])
     if verdict["promote"]:
-        save_model(load_model(ws.challenger), ws.champion)
         registry.promote(ws.model_name, challenger)
     return spark.createDataFrame([verdict], decision.schema)
 
@@ -227,12 +219,15 @@ def score_customers(
     request contract is rejected with its reasons while the others are scored.
     """
     contract = scoring_contract(ws.features, ws.contract)
-    version = ws.registry(spark).champion(ws.model_name)
+    registry = ws.registry(spark)
+    version = registry.champion(ws.model_name)
+    if version is None:
+        raise LookupError(f"{ws.model_name} has no champion")
     named = with_original_names(customers, contract)
     keyed = Contract((*contract.fields, *ws.contract.subset([ws.key]).fields))
     clean, rejected = quarantine(named.select(*keyed.names), keyed)
     prepared = add_features(clean, ws.features)
-    model = load_model(ws.champion)
+    model = load_model(registry.version_path(ws.model_name, version))
     if explain:
         prepared = with_tree_explanation(model, prepared)
     scored = with_retention_value(

@@ -25,20 +25,23 @@ def _reader(read, path: str, producer: str) -> DataFrame:
 
 
 def save_split(df: DataFrame, folder: str, flag: str = "is_test") -> None:
-    """Write ``train.parquet`` and ``test.parquet``; each pass keeps only its side."""
-    df.where(F.col(flag) == 0).drop(flag).write.mode("overwrite").parquet(f"{folder}/train.parquet")
-    df.where(F.col(flag) == 1).drop(flag).write.mode("overwrite").parquet(f"{folder}/test.parquet")
+    """Write both sides in one pass, as one dataset partitioned by the flag."""
+    df.write.mode("overwrite").partitionBy(flag).parquet(folder)
 
 
-def load_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _side(spark: SparkSession, folder: str, value: int, flag: str) -> DataFrame:
+    # The flag is a partition column, so the other side's files are never opened.
+    return _reader(spark.read.parquet, folder, "the dataset build").where(F.col(flag) == value).drop(flag)
+
+
+def load_split(spark: SparkSession, folder: str, flag: str = "is_test") -> tuple[DataFrame, DataFrame]:
     """(train, test) as written; the split is never redone."""
-    read = spark.read.parquet
-    return tuple(_reader(read, f"{folder}/{side}.parquet", "the dataset build") for side in ("train", "test"))
+    return _side(spark, folder, 0, flag), _side(spark, folder, 1, flag)
 
 
 def load_reference(spark: SparkSession, folder: str, target: str) -> DataFrame:
     """The training side without its label."""
-    return _reader(spark.read.parquet, f"{folder}/train.parquet", "the dataset build").drop(target)
+    return load_split(spark, folder)[0].drop(target)
 
 
 def save_report(report: DataFrame, path: str, order: list | None = None) -> None:
