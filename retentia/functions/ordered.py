@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGES = 64
+DEFAULT_RANGES = 256
 
 
 def range_cuts(counts: DataFrame, keys: Sequence[str], value: str, ranges: int = DEFAULT_RANGES) -> DataFrame:
@@ -24,9 +24,28 @@ def range_cuts(counts: DataFrame, keys: Sequence[str], value: str, ranges: int =
     of the distinct values whose size is bounded by ``ranges`` whatever the input holds.
     """
     cell = F.pmod(F.xxhash64(F.col(value)), F.lit(ranges))
-    tagged = F.struct(F.xxhash64(F.col(value), F.lit(1)).alias("tag"), F.col(value).alias("v"))
-    picked = counts.groupBy(*keys, cell.alias("cell")).agg(F.min(tagged).alias("pick"))
-    return picked.groupBy(*keys).agg(F.array_sort(F.collect_list("pick.v")).alias("cuts"))
+    # min_by keeps two plain numbers per cell and so hashes; a minimum of structs would sort.
+    pick = F.min_by(F.col(value), F.xxhash64(F.col(value), F.lit(1)))
+    picked = counts.groupBy(*keys, cell.alias("cell")).agg(pick.alias("pick"))
+    return picked.groupBy(*keys).agg(F.array_sort(F.collect_list("pick")).alias("cuts"))
+
+
+def with_range(df: DataFrame, value: str, cuts: str, ranges: int, column: str) -> DataFrame:
+    """Add how many of the first ``ranges - 1`` sorted cuts are <= ``value``, by binary search.
+
+    Each step is a projection of its own, so that a step's result is computed once and not inlined
+    into the next one; all of them run inside one generated stage.
+    """
+    if ranges < 1 or ranges & (ranges - 1):
+        raise ValueError("ranges must be a power of two")
+    out = df.withColumn(column, F.lit(0))
+    step = ranges // 2
+    while step:
+        # Past the end of a shorter array the lookup is null and the step is not taken.
+        probe = F.get(F.col(cuts), F.col(column) + F.lit(step - 1))
+        out = out.withColumn(column, F.col(column) + F.when(probe <= F.col(value), F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return out
 
 
 def running_sums(
@@ -59,9 +78,7 @@ def running_sums(
         counts = counts.withColumn("_all", F.lit(0))
         keys, small = ["_all"], F.broadcast
     cuts = range_cuts(counts, keys, value, ranges)
-    ranged = counts.join(small(cuts), keys).withColumn(
-        "_range", F.size(F.filter("cuts", lambda c: c <= F.col(value)))
-    ).drop("cuts")
+    ranged = with_range(counts.join(small(cuts), keys), value, "cuts", ranges, "_range").drop("cuts")
 
     per_range = ranged.groupBy(*keys, "_range").agg(
         *[F.sum(m).alias(m) for m in measures], F.min(value).alias("_first")

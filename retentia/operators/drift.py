@@ -7,7 +7,7 @@ counts are written to the shared folder because several tests read them.
 Test per column (our contract):
 
 * reference of at most 1000 rows: two-sample Kolmogorov-Smirnov for numeric columns with more than 5
-  values, else chi-square, or the two-proportion z test for 2 levels; drifted when p < 0.05;
+  values, else chi-square, or the two-sided two-proportion z test for 2 levels; drifted when p < 0.05;
 * larger reference: Wasserstein distance over the reference's standard deviation for numeric columns
   with more than 5 values, else Jensen-Shannon distance; drifted when >= 0.1.
 """
@@ -92,7 +92,8 @@ def _level_terms(ref: Column, cur: Column, ref_total: Column, cur_total: Column,
         # A level the reference lacks makes the statistic infinite.
         "chi2": F.sum(F.when(expected > 0, gap * gap / expected).when(cur > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))),
         "n_levels": F.count(F.when((ref > 0) | (cur > 0), 1)),
-        "one_level": F.max(F.when(ref > 0, F.struct(F.col("value").cast("string").alias("v"), p.alias("p"), q.alias("q")))),
+        # (p - q)^2 over the pooled share: for two levels, the squared z statistic up to the sample sizes.
+        "gap": F.sum(F.when(ref + cur > 0, (p - q) * (p - q) * (ref_total + cur_total) / (ref + cur)).otherwise(F.lit(0.0))),
     }
 
 
@@ -109,9 +110,6 @@ def _per_batch(rows: DataFrame, batches: Sequence[str], terms, kind: str, rule:
     each = F.explode(F.array(*[F.col(f"_{b}") for b in batches])).alias("e")
     frame = per_column.select("column", "n_ref_values", "n_ref", each).select("column", "n_ref_values", "n_ref", "e.*")
     n1, n2 = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    p, q = F.col("one_level.p"), F.col("one_level.q")
-    pooled = (p * n1 + q * n2) / (n1 + n2)
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2))
     return frame.select(
         "batch",
         "column",
@@ -122,7 +120,7 @@ def _per_batch(rows: DataFrame, batches: Sequence[str], terms, kind: str, rule:
         F.sqrt(F.greatest(F.lit(0.5) * F.col("js"), F.lit(0.0))).alias("jensen_shannon"),
         "chi2",
         "n_levels",
-        F.when(spread > 0, (p - q) / spread).otherwise(F.lit(0.0)).alias("z"),
+        F.sqrt(F.col("gap") / (1 / n1 + 1 / n2)).alias("z"),
         "ks",
         "wasserstein",
     )

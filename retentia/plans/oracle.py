@@ -512,7 +512,7 @@ oracle(
 )
 oracle(
     "drift_z",
-    """SELECT 'l_linestatus' AS "column", round((p - q) / sqrt(pool * (1 - pool) * (1 / n1 + 1 / n2)), 6) AS z FROM (
+    """SELECT 'l_linestatus' AS "column", round(abs(p - q) / sqrt(pool * (1 - pool) * (1 / n1 + 1 / n2)), 6) AS z FROM (
        SELECT x1 / n1 AS p, x2 / n2 AS q, (x1 + x2) / (n1 + n2) AS pool, n1, n2 FROM (
        SELECT CAST(count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1998-01-01') AS DOUBLE) AS n1, CAST(count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-01-01') AS DOUBLE) AS n2,
               count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1998-01-01' AND l_linestatus = top) AS x1,
