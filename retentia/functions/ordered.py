@@ -73,32 +73,33 @@ def running_sums(
     # so that they share one shuffled copy instead of reading the input three times.
     carried = [c for c in counts.columns if c not in (*keys, value)]
     counts = counts.where(F.greatest(*[F.col(c) for c in carried], F.lit(0)) > 0)
-    keyless = not keys
-    if keyless:
-        counts = counts.withColumn("_all", F.lit(0))
-        keys, small = ["_all"], F.broadcast
     cuts = range_cuts(counts, keys, value, ranges)
-    ranged = with_range(counts.join(small(cuts), keys), value, "cuts", ranges, "_range").drop("cuts")
+    if keys:
+        beside_cuts = counts.join(small(cuts), keys)
+    else:
+        # One row of cuts: a subquery instead of a join without keys. At most `ranges` offsets follow.
+        beside_cuts, small = counts.withColumn("cuts", cuts.scalar()), F.broadcast
+    ranged = with_range(beside_cuts, value, "cuts", ranges, "_range").drop("cuts")
 
     per_range = ranged.groupBy(*keys, "_range").agg(
         *[F.sum(m).alias(m) for m in measures], F.min(value).alias("_first")
     )
-    by_range = Window.partitionBy(*keys).orderBy("_range")
+    per_key = Window.partitionBy(*(keys or [F.lit(0)]))  # over at most `ranges` rows per key
+    by_range = per_key.orderBy("_range")
     before = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*keys)
     offsets = per_range.select(
         *keys,
         "_range",
         *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_{m}_offset") for m in measures],
-        *[F.sum(m).over(everything).alias(f"{m}_total") for m in measures],
+        *[F.sum(m).over(per_key).alias(f"{m}_total") for m in measures],
         *([F.lead("_first").over(by_range).alias("_next_first")] if with_next else []),
     )
 
     in_range = Window.partitionBy(*keys, "_range").orderBy(value)
     in_before = in_range.rowsBetween(Window.unboundedPreceding, -1)
     joined = ranged.join(small(offsets), [*keys, "_range"])
-    out = joined.select(
-        *[c for c in counts.columns],
+    return joined.select(
+        *counts.columns,
         *[
             (F.col(f"_{m}_offset") + F.coalesce(F.sum(m).over(in_before), F.lit(0))).alias(f"{m}_before")
             for m in measures
@@ -110,7 +111,6 @@ def running_sums(
             else []
         ),
     )
-    return out.drop("_all") if keyless else out
 
 
 def exact_quantiles(
