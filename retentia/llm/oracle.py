@@ -71,3 +71,19 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
+
+ORACLE["op4_minhash_near_dedup"] = r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(list_transform(
+        range(greatest(len(w) - 4, least(len(w), 1))), lambda i: md5(array_to_string(w[i + 1 : i + 5], ' ')))) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(id, reached) AS (SELECT a, a FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.reached)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id,
+  coalesce(m.c, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT id, min(reached) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
+"""

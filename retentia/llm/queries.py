@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm import language, mixing, sharding, topk
+from retentia.llm import bpe, language, mixing, neardup, sharding, topk
 from retentia.llm.common import documents
 
 SHARDS = tuple(f"shard-{i:02d}" for i in range(64))
@@ -46,3 +47,24 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     table = spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
     vectors = topk.whole_vectors(table, "vec_id", "embedding", 256)
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return neardup.near_duplicates(documents(spark, folder))
+
+
+@query
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's token ids and of what they decode to."""
+    content = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
+    docs = documents(spark, folder).select("doc_id", "text")
+    done = bpe.decode(bpe.encode(docs, content, keep=["doc_id"]), content)
+    text = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(text.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
