@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from retentia.llm.common import draw_sql
+from retentia.llm.fingerprints import MatchSettings
+from retentia.llm.licenses import TEMPLATES
 from retentia.llm.queries import SHARDS, SLOTS
 
 ORACLE: dict[str, str] = {}
@@ -87,3 +89,77 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(m.c, d
   coalesce(m.c, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT id, min(reached) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
 """
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_TEMPLATE_ROWS = ", ".join("({}, '{}', {}, '{}')".format(i, t.label, str(t.phrase).lower(), t.text.replace("'", "''")) for i, t in enumerate(TEMPLATES))
+
+ORACLE["op3_license_scan"] = f"""
+WITH t AS (
+  SELECT i, label, phrase, regexp_extract_all({_LOWER.format("body")}, {_TERM}) AS w FROM (VALUES {_TEMPLATE_ROWS}) x(i, label, phrase, body)),
+tr AS (
+  SELECT i, label, phrase, len(w) - 2 AS runs, unnest(range(len(w) - 2)) AS at_,
+    unnest(list_transform(range(len(w) - 2), lambda j: array_to_string(w[j + 1 : j + 3], ' '))) AS run FROM t),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, {_TERM}) AS w FROM documents),
+r AS (
+  SELECT doc_id, unnest(range(greatest(len(w) - 2, 0))) AS place,
+    unnest(list_transform(range(greatest(len(w) - 2, 0)), lambda j: array_to_string(w[j + 1 : j + 3], ' '))) AS run FROM d),
+g AS (
+  SELECT doc_id, i, label, phrase, runs, place - at_ AS diagonal, list(DISTINCT at_) AS covered, min(place) AS low, max(place) AS high
+  FROM r JOIN tr USING (run) GROUP BY ALL),
+m AS (SELECT *, CASE WHEN phrase OR lag(diagonal) OVER o IS NULL OR diagonal - lag(diagonal) OVER o > 4 THEN 1 ELSE 0 END AS fresh
+      FROM g WINDOW o AS (PARTITION BY doc_id, i ORDER BY diagonal)),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, i ORDER BY diagonal) AS span FROM m),
+s AS (
+  SELECT doc_id, i, label, phrase, runs, span, len(list_distinct(flatten(list(covered)))) AS covered, min(diagonal) AS start, max(high) - min(low) + 3 AS length
+  FROM n GROUP BY ALL),
+v AS (
+  SELECT *, covered / runs AS share, phrase AND covered = runs AS whole,
+    (phrase AND covered = runs) OR (NOT phrase AND covered / runs >= 0.6 AND length <= 1.5 * (runs + 2)) AS found FROM s),
+a AS (
+  SELECT doc_id, count(*) FILTER (whole) AS n_base, min(start) FILTER (whole) AS first_word, max(start) FILTER (whole) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (whole) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found) AS labels, max(share) FILTER (found) AS score FROM v GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id
+"""
+
+_M = MatchSettings()
+_SUBSETS = range(_M.subsets)
+
+
+def _print_sql(kind: int) -> str:
+    parts = ", ".join(f"coalesce(lower(to_hex(h{i})), '-')" for i in _SUBSETS)
+    some = ", ".join(f"h{i}" for i in _SUBSETS)
+    return f"SELECT doc_id, CASE WHEN coalesce({some}) IS NULL THEN 'text:' || whole ELSE concat_ws('.', {parts}) END AS f FROM s WHERE kind = {kind}"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    zipped = f"list_zip(string_split({a}, '.'), string_split({b}, '.'))"
+    used = f"len(list_filter({zipped}, lambda p: p[1] <> '-' OR p[2] <> '-'))"
+    same = f"len(list_filter({zipped}, lambda p: p[1] <> '-' AND p[1] = p[2]))"
+    return f"CASE WHEN {a} = {b} THEN 1.0 WHEN {a} LIKE 'text:%' OR {b} LIKE 'text:%' THEN 0.0 ELSE ({same}) / ({used}) END::DOUBLE"
+
+
+ORACLE["op7_fingerprints"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+e AS (
+  SELECT doc_id, text, coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id,
+    substr(text, 1, length(text) - length(text) // 3) || substr(coalesce(lead(text) OVER o, first_value(text) OVER o), 1, length(text) // 3) AS edited
+  FROM d WINDOW o AS (ORDER BY doc_id DESC)),
+x AS (SELECT doc_id, 0 AS kind, text FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
+w AS (SELECT doc_id, kind, unnest(list_distinct(list_transform(regexp_extract_all(text, r'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: lower(t)))) AS term FROM x),
+l AS MATERIALIZED (
+  SELECT term, ('0x' || substr(md5('{_M.seed}:' || term), 1, 15))::BIGINT AS code FROM (SELECT term, count(*) AS n FROM w WHERE kind = 0 GROUP BY term)
+  WHERE n >= 2 AND n >= {_M.rare} * (SELECT count(*) FROM d) AND n <= {_M.common} * (SELECT count(*) FROM d)),
+h AS (
+  SELECT doc_id, kind, {", ".join(f"bit_xor(code) FILTER (('0x' || substr(md5('{_M.seed}:{i}:' || term), 1, 15))::BIGINT % {2 ** (i // _M.each + 1)} = 0) AS h{i}" for i in _SUBSETS)}
+  FROM w JOIN l USING (term) GROUP BY doc_id, kind),
+s AS (SELECT x.doc_id, x.kind, md5(x.text) AS whole, h.* EXCLUDE (doc_id, kind) FROM x LEFT JOIN h ON h.doc_id = x.doc_id AND h.kind = x.kind),
+f0 AS ({_print_sql(0)}),
+f1 AS ({_print_sql(1)})
+SELECT e.doc_id, CAST(length(e.text) AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint,
+  {_likeness_sql("a.f", "b.f")} AS near_edited, {_likeness_sql("a.f", "c.f")} AS near_next
+FROM e JOIN f0 a ON a.doc_id = e.doc_id JOIN f1 b ON b.doc_id = e.doc_id JOIN f0 c ON c.doc_id = e.next_id
+""".replace("r'[", "'[")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm import bpe, language, mixing, neardup, sharding, topk
+from retentia.llm import bpe, fingerprints, language, licenses, mixing, neardup, sharding, topk
 from retentia.llm.common import documents
 
 SHARDS = tuple(f"shard-{i:02d}" for i in range(64))
@@ -68,3 +68,15 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(text.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.scan_licenses(documents(spark, folder))
+
+
+@query
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.edited_fingerprints(documents(spark, folder))
