@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm import bpe, fingerprints, language, licenses, mixing, neardup, sharding, topk
+from retentia.llm import bpe, fingerprints, language, licenses, linededup, mixing, neardup, repeats, sharding, topk
 from retentia.llm.common import documents
 
 SHARDS = tuple(f"shard-{i:02d}" for i in range(64))
@@ -80,3 +80,18 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.edited_fingerprints(documents(spark, folder))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines deleted from every document, and what is left."""
+    done = linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that belong to a repeated string of 400 bytes, and what is left."""
+    done = repeats.remove_repeats(documents(spark, folder).select("doc_id", "text"))
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("bigint")
+    return done.select("row.doc_id", size.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
