@@ -138,25 +138,68 @@ def _confirmed(settings: NearDuplicates):
     return run
 
 
-def _block_pairs(settings: NearDuplicates):
-    least = settings.threshold[0] / settings.threshold[1] - settings.slack
-    ratio = settings.threshold[0] / settings.threshold[1]
+def _across(part: pd.DataFrame, sketch: np.ndarray, settings: NearDuplicates) -> Iterator[tuple[int, np.ndarray]]:
+    """For each member of a block, the later members of other components that are likely partners.
 
+    A pair that shares several buckets counts in the first of its bands alone.
+    """
+    least, ratio = settings.threshold[0] / settings.threshold[1] - settings.slack, settings.threshold[0] / settings.threshold[1]
+    label, n, side, band = (part[c].to_numpy() for c in ("label", "n_shingles", "side", "band"))
+    banded = sketch[:, : settings.bands * settings.rows].reshape(len(sketch), settings.bands, settings.rows)
+    filled = banded.any(-1)
+    for i in range(len(part) - 1):
+        rows = np.arange(i + 1, len(part))
+        small, large = np.minimum(n[i], n[rows]), np.maximum(n[i], n[rows])
+        rows = rows[(label[rows] != label[i]) & (small >= ratio * large) & ((side[rows] != side[i]) | (side[i] == 2))]
+        if len(rows):
+            rows = rows[estimate(sketch[rows], sketch[i], n[rows].astype(float), float(n[i])) >= least]
+        if len(rows):
+            rows = rows[((banded[rows] == banded[i]).all(-1) & filled[i]).argmax(-1) == band[i]]
+        if len(rows):
+            yield i, rows
+
+
+def _active(settings: NearDuplicates):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         found = []
+        for key, part in group.groupby("key", sort=False):
+            ids = part["id"].to_numpy()
+            hit = np.zeros(len(ids), bool)
+            for i, rows in _across(part, _sketch_matrix(part["registers"]), settings):
+                hit[i] = hit[rows] = True
+            found.append(pd.DataFrame({"key": key, "id": ids[hit]}, dtype="int64"))
+        return pd.concat(found)
+
+    return run
+
+
+def _linked(settings: NearDuplicates):
+    share, whole = settings.threshold
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        hasher, known, found = WordHasher(), {}, []
+        for text in group["text"].unique():
+            data = np.frombuffer(text.encode(), np.uint8)
+            known[text] = settings.shingles(hasher(data, np.array([0, len(data)]))[0])
         for _, part in group.groupby("key", sort=False):
-            ids, comp, n = (part[c].to_numpy() for c in ("id", "label", "n_shingles"))
-            side = part["side"].to_numpy()
-            sketch = _sketch_matrix(part["registers"])
-            for i in range(len(ids)):
-                rows = np.arange(i + 1, len(ids))
-                small, large = np.minimum(n[i], n[rows]), np.maximum(n[i], n[rows])
-                fits = (comp[rows] != comp[i]) & (small >= ratio * large) & ((side[rows] != side[i]) | (side[i] == 2))
-                rows = rows[fits]
-                if len(rows):
-                    near = rows[estimate(sketch[rows], sketch[i], n[rows].astype(float), float(n[i])) >= least]
-                    found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64").drop_duplicates()
+            ids, label = part["id"].to_numpy(), part["label"].to_numpy()
+            sets = [known[text] for text in part["text"]]
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while parent.get(x, x) != x:
+                    x = parent[x]
+                return x
+
+            for i, rows in _across(part, np.stack([registers(x) for x in sets]), settings):
+                for j in rows:
+                    if (a := root(label[i])) == (b := root(label[j])):
+                        continue  # connected by a link found here already
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if whole * both >= share * (len(sets[i]) + len(sets[j]) - both):
+                        parent[a] = b
+                        found.append((ids[i], ids[j]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -174,12 +217,12 @@ class _Finder:
         self.classes = written(self.classes, "classes")
 
     def members(self) -> DataFrame:
-        """(key, id, size) of the buckets with two classes or more."""
+        """(key, band, id, size) of the buckets with two classes or more."""
         width = 2 * self.settings.rows
         bands = [F.substring("registers", i * width + 1, width) for i in range(self.settings.bands)]
         empty = F.lit(bytes(width))
-        keys = F.filter(F.array(*[F.when(b != empty, F.xxhash64(F.lit(i), b)) for i, b in enumerate(bands)]), lambda x: x.isNotNull())
-        rows = self.classes.select("id", F.explode(keys).alias("key")).distinct()
+        keys = F.array(*[F.when(b != empty, F.xxhash64(F.lit(i), b)) for i, b in enumerate(bands)])
+        rows = self.classes.select("id", F.posexplode(keys).alias("band", "key")).where(F.col("key").isNotNull()).distinct()
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
         return written(rows.join(sizes, "key"), "members")
 
@@ -190,22 +233,41 @@ class _Finder:
         pairs = members.join(ranked, "key").where(F.col("id") != F.col("hub"))
         return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
-    def rest_pairs(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Likely pairs across the components of a bucket, from blocks of its members."""
-        marked = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        several = marked.groupBy("key").agg(F.count_distinct("label").alias("parts")).where(F.col("parts") > 1).select("key")
-        rows = marked.join(several, "key").join(self.classes.select("id", "n_shingles", "registers"), "id")
-        total = members.agg(F.count(F.lit(1))).first()[0]
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    def _dealt(self, rows: DataFrame, tasks: int) -> DataFrame:
+        """Small buckets share ``tasks`` tasks; a large one has a task for each two of its blocks."""
+        sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        rows = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        # Small buckets share a task; a large one has a task for each two of its blocks.
-        shared = F.pmod(F.xxhash64("key"), F.lit(max(8, total // 20_000)))
-        rows = rows.withColumn("task", F.when(F.col("blocks") == 1, shared).otherwise(F.col("key")))
         rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+        shared = F.pmod(F.xxhash64("key"), F.lit(max(8, tasks)))
+        rows = rows.withColumn("task", F.when(F.col("blocks") == 1, shared).otherwise(F.col("key")))
         side = F.when(F.col("low") == F.col("high"), 2).when(F.col("own") == F.col("low"), 0).otherwise(1)
-        rows = rows.select("task", "low", "high", "key", "id", "label", "n_shingles", "registers", side.alias("side"))
-        return rows.groupBy("task", "low", "high").applyInPandas(_block_pairs(self.settings), "a long, b long").distinct()
+        return rows.withColumn("side", side).drop("own", "other", "blocks", "size")
+
+    def rest_links(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links across the components of a bucket.
+
+        The sketches tell which members have a likely partner; the texts of those go to the blocks, where pairs are
+        confirmed and a link is reported only if it connects what the block's links don't connect yet.
+        """
+        marked = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        several = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high")).select("key")
+        marked = marked.join(several, "key").join(self.classes.select("id", "n_shingles", "registers"), "id")
+        marked = written(marked, "across")
+        block = ["task", "low", "high"]
+        dealt = self._dealt(marked, marked.count() // 20_000)
+        active = written(dealt.groupBy(*block).applyInPandas(_active(self.settings), "key long, id long").distinct(), "active")
+        rows = marked.drop("registers").join(active, ["key", "id"])
+        bytes_ = rows.agg(F.sum("n_shingles")).first()[0] or 0
+        texts = self._texts(active.select(F.col("id").alias("doc_id")).distinct(), "active")
+        rows = rows.join(texts.distinct().withColumnRenamed("doc_id", "id"), "id")
+        dealt = self._dealt(rows, 8 * bytes_ // (16 << 20))
+        return dealt.groupBy(*block).applyInPandas(_linked(self.settings), "a long, b long")
+
+    def _texts(self, ids: DataFrame, name: str) -> DataFrame:
+        """The texts of the ids, which are broadcast only if they are few."""
+        ids = written(ids, f"{name}-ids")
+        return written(self.docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi"), f"{name}-texts")
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose full shingle sets reach the threshold."""
@@ -214,10 +276,7 @@ class _Finder:
             pairs = pairs.join(sketch.select(F.col("id").alias(end), F.col("n_shingles").alias(f"n_{end}"), F.col("registers").alias(f"r_{end}")), end)
         pairs = pairs.where(_likely(self.settings)("r_a", "r_b", "n_a", "n_b")).select("a", "b")
         pairs = written(pairs, f"{name}-pairs")
-        ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
-        bounded = ids.count() <= BROADCAST_IDS
-        texts = self.docs.join(F.broadcast(ids) if bounded else ids, "doc_id", "left_semi")
-        texts = written(texts, f"{name}-texts")
+        texts = self._texts(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), name)
         for end in ("a", "b"):
             pairs = pairs.join(texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}")), end)
         return written(pairs.mapInArrow(_confirmed(self.settings), "a long, b long"), f"{name}-links")
@@ -226,8 +285,7 @@ class _Finder:
         members = self.members()
         links = self.links(self.star_pairs(members), "star")
         labels = connected_components(links)
-        more = self.links(self.rest_pairs(members, labels), "rest")
-        return connected_components(links.unionByName(more))
+        return connected_components(links.unionByName(self.rest_links(members, labels)))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: NearDuplicates = NearDuplicates()) -> DataFrame:
