@@ -73,7 +73,12 @@ def check_columns(df: DataFrame, contract: Contract) -> None:
 
 
 def _typed(field: Field) -> Column:
-    return F.col(f"`{field.name}`").try_cast(field.type)
+    raw = F.col(f"`{field.name}`")
+    if field.type != "bigint":
+        return raw.try_cast(field.type)
+    # A whole number may be written with a zero fraction, as a column that once held gaps is.
+    number = raw.try_cast("decimal(38,9)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:

@@ -10,6 +10,9 @@ Test per column (our contract):
   values, else chi-square, or the two-sided two-proportion z test for 2 levels; drifted when p < 0.05;
 * larger reference: Wasserstein distance over the reference's standard deviation for numeric columns
   with more than 5 values, else Jensen-Shannon distance; drifted when >= 0.1.
+
+A column without any value in the reference or in the batch can't be tested. It gets a row with the method
+``no_values`` and no score, counts as drifted if only one of the two lacks values, and stays in the dataset share.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from retentia.operators.features import column_types
 from retentia.session import written
 
 REFERENCE = "ref"
+NO_VALUES = "no_values"
 
 
 @dataclass(frozen=True)
@@ -83,7 +87,7 @@ def _xlog(p: Column, m: Column, base: float) -> Column:
 
 def _level_terms(ref: Column, cur: Column, ref_total: Column, cur_total: Column, rule: DriftRule) -> dict[str, Column]:
     """Aggregates over the levels of one column for the categorical tests."""
-    p, q = ref / ref_total, cur / cur_total
+    p, q = F.try_divide(ref, ref_total), F.try_divide(cur, cur_total)
     middle = (p + q) / 2
     expected = p * cur_total
     gap = cur - expected
@@ -104,7 +108,7 @@ def _per_batch(rows: DataFrame, batches: Sequence[str], terms, kind: str, rule:
     for b in batches:
         columns = terms(F.col(f"n_{b}"), F.col(f"n_{b}_total"), b)
         aggs.append(F.struct(F.lit(b).alias("batch"), *[c.alias(name) for name, c in columns.items()]).alias(f"_{b}"))
-    per_column = rows.where(ref_total > 0).groupBy("column").agg(
+    per_column = rows.groupBy("column").agg(
         F.count(F.when(ref > 0, 1)).alias("n_ref_values"), F.max(ref_total).alias("n_ref"), *aggs
     )
     each = F.explode(F.array(*[F.col(f"_{b}") for b in batches])).alias("e")
@@ -120,7 +124,7 @@ def _per_batch(rows: DataFrame, batches: Sequence[str], terms, kind: str, rule:
         F.sqrt(F.greatest(F.lit(0.5) * F.col("js"), F.lit(0.0))).alias("jensen_shannon"),
         "chi2",
         "n_levels",
-        F.sqrt(F.col("gap") / (1 / n1 + 1 / n2)).alias("z"),
+        F.sqrt(F.col("gap") / (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), n2))).alias("z"),
         "ks",
         "wasserstein",
     )
@@ -133,10 +137,10 @@ def numeric_distances(counts: DataFrame, batches: Sequence[str], rule: DriftRule
     run = running_sums(counts, ["column"], "value", measures, bounded_keys=True, with_next=True)
     width = F.coalesce(F.col("next_value"), F.col("value")) - F.col("value")
     ref, ref_total = F.col("n_ref"), F.col("n_ref_total")
-    ref_cdf = (F.col("n_ref_before") + ref) / ref_total
+    ref_cdf = F.try_divide(F.col("n_ref_before") + ref, ref_total)
 
     def terms(cur: Column, cur_total: Column, b: str) -> dict[str, Column]:
-        gap = F.abs(ref_cdf - (F.col(f"n_{b}_before") + cur) / cur_total)
+        gap = F.abs(ref_cdf - F.try_divide(F.col(f"n_{b}_before") + cur, cur_total))
         levels = _level_terms(ref, cur, ref_total, cur_total, rule)
         return {**levels, "ks": F.max(gap), "wasserstein": F.sum(gap * width), "n_cur": F.max(cur_total)}
 
@@ -162,19 +166,21 @@ def level_distances(counts: DataFrame, batches: Sequence[str], rule: DriftRule =
 def reference_spread(counts: DataFrame) -> DataFrame:
     """(column, std): population standard deviation of the reference, from numeric value counts."""
     n, v = F.col("n_ref"), F.col("value")
-    means = counts.groupBy("column").agg((F.sum(n * v) / F.sum(n)).alias("mean"))
+    means = counts.groupBy("column").agg(F.try_divide(F.sum(n * v), F.sum(n)).alias("mean"))
     # One row per column of the schema.
     centred = counts.join(F.broadcast(means), "column")
     gap = v - F.col("mean")
-    return centred.groupBy("column").agg(F.sqrt(F.sum(n * gap * gap) / F.sum(n)).alias("std"))
+    return centred.groupBy("column").agg(F.sqrt(F.try_divide(F.sum(n * gap * gap), F.sum(n))).alias("std"))
 
 
 def choose_tests(stats: DataFrame, spread: DataFrame, n_reference: Column, rule: DriftRule = DriftRule()) -> DataFrame:
     """Pick each column's test and verdict: (batch, column, method, score, threshold, drifted)."""
     small = n_reference <= rule.small_reference
     continuous = (F.col("kind") == "numeric") & (F.col("n_ref_values") > rule.few_values)
+    absent = (F.col("n_ref") == 0) | (F.col("n_cur") == 0)
     method = (
-        F.when(small & continuous, "ks")
+        F.when(absent, NO_VALUES)
+        .when(small & continuous, "ks")
         .when(small & (F.col("n_ref_values") > 2), "chi_square")
         .when(small, "z_test")
         .when(continuous, "wasserstein")
@@ -187,13 +193,14 @@ def choose_tests(stats: DataFrame, spread: DataFrame, n_reference: Column, rule:
         .when(F.col("method") == "chi_square", chi_square_tail(F.col("chi2"), (F.col("n_levels") - 1).cast("double")))
         .when(F.col("method") == "z_test", two_sided_normal_tail(F.col("z")))
         .when(F.col("method") == "wasserstein", normed)
-        .otherwise(F.col("jensen_shannon"))
+        .when(F.col("method") == "jensen_shannon", F.col("jensen_shannon"))
     )
     is_p = F.col("method").isin("ks", "chi_square", "z_test")
     scored = tested.withColumn("score", score).withColumn(
         "threshold", F.when(is_p, F.lit(rule.p_threshold)).otherwise(F.lit(rule.distance_threshold))
     )
-    drifted = F.when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
+    one_sided = (F.col("n_ref") == 0) != (F.col("n_cur") == 0)
+    drifted = F.when(F.col("method") == NO_VALUES, one_sided).when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
     return scored.select("batch", "column", "kind", "method", "score", "threshold", F.coalesce(drifted, F.lit(False)).alias("drifted"))
 
 
@@ -211,6 +218,20 @@ def _drift(
         stats.append(level_distances(text_counts(counts), list(aliases), rule))
     n_reference = reference.agg(F.count("*")).scalar()
     chosen = choose_tests(reduce(DataFrame.unionByName, stats), spread, n_reference, rule)
+    # A row for every column of the schema and every batch, also where neither side has a value.
+    kinds = [(c, "numeric") for c in numeric] + [(c, "text") for c in text]
+    listed = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind")) for c, k in kinds])
+    frames = F.array(*[F.lit(a) for a in aliases])
+    every = reference.sparkSession.range(1).select(F.explode(listed).alias("c"), F.lit(0).alias("_")).select("c.*", F.explode(frames).alias("batch"))
+    chosen = every.join(chosen.drop("kind"), ["batch", "column"], "left").select(
+        "batch",
+        "column",
+        "kind",
+        F.coalesce("method", F.lit(NO_VALUES)).alias("method"),
+        "score",
+        F.coalesce("threshold", F.lit(rule.distance_threshold)).alias("threshold"),
+        F.coalesce("drifted", F.lit(False)).alias("drifted"),
+    )
     return chosen.withColumn("batch", lookup(F.col("batch"), aliases))
 
 

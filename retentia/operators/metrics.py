@@ -30,12 +30,15 @@ def classification_metrics(
     """F1, accuracy, precision, recall, ROC-AUC and average precision per group of ``by``.
 
     Rows are first collapsed to one per (group, distinct score), so ties get half credit in the
-    ROC-AUC and one step in the average precision. A group with one class has null AUC and AP.
+    ROC-AUC and one step in the average precision. A group with one class has null AUC and AP. A null score is an
+    error; rows with a null key of ``by`` are left out.
     """
     y = F.col(label).cast("bigint")
     hit = y * F.col(prediction).cast("bigint")
     false_alarm = (F.lit(1) - y) * F.col(prediction).cast("bigint")
-    counts = scored.groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
+    known = scored.dropna(subset=list(by)) if by else scored
+    checked = F.coalesce(F.col(score).cast("double"), F.raise_error(F.lit(f"a row has no {score}")).cast("double"))
+    counts = known.groupBy(*by, checked.alias("_score")).agg(
         F.sum(y).alias("pos"),
         F.sum(F.lit(1) - y).alias("neg"),
         F.sum(hit).alias("tp"),
@@ -46,7 +49,7 @@ def classification_metrics(
     taken_pos = F.col("pos_total") - F.col("pos_before")
     taken_neg = F.col("neg_total") - F.col("neg_before")
     wins = F.sum(F.col("pos").cast("double") * (F.col("neg_before") + F.col("neg") / 2.0))
-    steps = F.sum(F.col("pos") / pos_total * (taken_pos / (taken_pos + taken_neg)))
+    steps = F.sum(F.try_divide(F.col("pos"), pos_total) * (taken_pos / (taken_pos + taken_neg)))
     sums = run.groupBy(*by).agg(
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),

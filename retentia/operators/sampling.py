@@ -19,6 +19,11 @@ from retentia.functions.scalars import batch_name, lower_clip
 DEFAULT_SLICES = 4096
 
 
+def _stratum(label: str) -> Column:
+    """The class as text; rows without a label are a class of their own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("null"))
+
+
 def _rank_cuts(keyed: DataFrame, stratum: str, targets: DataFrame, slices: int) -> DataFrame:
     """The (h, id) at each wanted 1-based rank within its stratum.
 
@@ -64,18 +69,18 @@ def stratified_split(
     slices: int = DEFAULT_SLICES,
     column: str = "is_test",
 ) -> DataFrame:
-    """Add a 0/1 ``is_test`` column: exact total size, class shares kept. ``key`` must be unique.
+    """Add a 0/1 ``is_test`` column: exact total size, class shares kept. ``key`` must be unique. Rows without a label are a class too.
 
     The rows with the smallest hashes of each class go to the test side. Every class has one cut point,
     so the full-width pass is a comparison against a broadcast row per class and shuffles nothing.
     """
-    keyed = df.select(F.col(label), hash_key(seed, "split", key).alias("h"), F.col(key).alias("id"))
+    keyed = df.select(_stratum(label).alias("_class"), hash_key(seed, "split", key).alias("h"), F.col(key).alias("id"))
     quotas = train_quotas(df, label, test_size)
-    targets = quotas.select(label, F.lit(1).alias("cut"), (F.col("n") - F.col("n_train")).alias("target_rank"))
-    cuts = _rank_cuts(keyed, label, targets.where("target_rank > 0"), slices)
-    limit = cuts.select(F.col(label), F.struct("h", "id").alias("_cut"))
+    targets = quotas.select(_stratum(label).alias("_class"), F.lit(1).alias("cut"), (F.col("n") - F.col("n_train")).alias("target_rank"))
+    cuts = _rank_cuts(keyed, "_class", targets.where("target_rank > 0"), slices)
+    limit = cuts.select("_class", F.struct("h", "id").alias("_cut"))
     mine = F.struct(hash_key(seed, "split", key).alias("h"), F.col(key).alias("id"))
-    flagged = df.join(F.broadcast(limit), label, "left")
+    flagged = df.withColumn("_class", _stratum(label)).join(F.broadcast(limit), "_class", "left")
     return flagged.withColumn(column, F.coalesce((mine <= F.col("_cut")).cast("int"), F.lit(0))).drop("_cut").select(*df.columns, column)
 
 
@@ -83,34 +88,40 @@ def stratified_folds(
     df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42, slices: int = DEFAULT_SLICES, column: str = "fold"
 ) -> DataFrame:
     """Add ``fold`` 0..k-1: within each class, fold sizes differ by at most one. ``key`` must be unique."""
-    keyed = df.select(F.col(label), hash_key(seed, "fold", key).alias("h"), F.col(key).alias("id"))
-    sizes = df.groupBy(label).agg(F.count("*").alias("n"))
+    keyed = df.select(_stratum(label).alias("_class"), hash_key(seed, "fold", key).alias("h"), F.col(key).alias("id"))
+    sizes = df.groupBy(_stratum(label).alias("_class")).agg(F.count("*").alias("n"))
     steps = F.explode(F.sequence(F.lit(1), F.lit(k - 1)))
-    targets = sizes.select(label, "n", steps.alias("cut")).select(
-        label, "cut", F.ceil(F.col("cut") * F.col("n") / F.lit(k)).cast("bigint").alias("target_rank")
+    targets = sizes.select("_class", "n", steps.alias("cut")).select(
+        "_class", "cut", F.ceil(F.col("cut") * F.col("n") / F.lit(k)).cast("bigint").alias("target_rank")
     )
-    cuts = _rank_cuts(keyed, label, targets, slices)
-    limits = cuts.groupBy(label).agg(F.collect_list(F.struct("h", "id")).alias("_cuts"))
+    cuts = _rank_cuts(keyed, "_class", targets, slices)
+    limits = cuts.groupBy("_class").agg(F.collect_list(F.struct("h", "id")).alias("_cuts"))
     mine = F.struct(hash_key(seed, "fold", key).alias("h"), F.col(key).alias("id"))
     passed = F.size(F.filter("_cuts", lambda c: c < mine))
-    return df.join(F.broadcast(limits), label, "left").withColumn(column, F.coalesce(passed, F.lit(0)).cast("int")).select(*df.columns, column)
+    classed = df.withColumn("_class", _stratum(label)).join(F.broadcast(limits), "_class", "left")
+    return classed.withColumn(column, F.coalesce(passed, F.lit(0)).cast("int")).select(*df.columns, column)
 
 
 def row_index(df: DataFrame, key: str, slices: int = DEFAULT_SLICES) -> DataFrame:
-    """(key, row_index): dense 0-based numbers in hash order, without ordering the table on one task."""
+    """(key, row_index): dense 0-based numbers in hash order, without ordering the table on one task.
+
+    A key that is null or stands in two rows is an error: its rows could not be told apart later.
+    """
     keyed = df.select(F.col(key), hash_key(0, "row", key).alias("h")).withColumn("slice", hash_bucket("h", slices))
     counts = keyed.groupBy("slice").agg(F.count("*").alias("n"))
     # At most `slices` rows.
     offsets = counts.select(
         "slice", (F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("slice")) - F.col("n")).alias("offset")
     )
-    place = F.row_number().over(Window.partitionBy("slice").orderBy("h", key)) - 1
+    in_slice = Window.partitionBy("slice").orderBy("h", key)
+    repeated = F.col(key).isNull() | F.coalesce(F.lag(key).over(in_slice) == F.col(key), F.lit(False))
+    place = F.when(repeated, F.raise_error(F.lit(f"{key} is null or repeated")).cast("int")).otherwise(F.row_number().over(in_slice) - 1)
     numbered = keyed.withColumn("place", place).join(F.broadcast(offsets), "slice")
     return numbered.select(key, (F.col("offset") + F.col("place")).cast("bigint").alias("row_index"))
 
 
 def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42, slices: int = DEFAULT_SLICES) -> DataFrame:
-    """Exactly ``n`` rows drawn with replacement, with their draw number in ``draw``.
+    """Exactly ``n`` rows drawn with replacement, with their draw number in ``draw``. ``key`` must be unique, else it fails.
 
     Only keys are numbered and shuffled; full rows are fetched by key for the drawn ones.
     """

@@ -225,7 +225,9 @@ def score_customers(
         raise LookupError(f"{ws.model_name} has no champion")
     named = with_original_names(customers, contract)
     keyed = Contract((*contract.fields, *ws.contract.subset([ws.key]).fields))
-    clean, rejected = quarantine(named.select(*keyed.names), keyed)
+    # Fields that may be null may also be left out of a request.
+    optional = {f.name: F.lit(None).cast("string") for f in keyed.fields if f.nullable and f.name not in named.columns}
+    clean, rejected = quarantine(named.withColumns(optional).select(*keyed.names), keyed)
     prepared = add_features(clean, ws.features)
     model = load_model(registry.version_path(ws.model_name, version))
     if explain:

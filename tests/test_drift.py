@@ -84,3 +84,16 @@ def test_sweep_equals_one_comparison_per_batch(spark):
 @pytest.mark.parametrize("x, dof, want", [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (7.814727903251179, 3, 0.05), (18.307038053275146, 10, 0.05), (0.0, 4, 1.0)])
 def test_chi_square_tail(x, dof, want):
     assert _chi_square_tail(x, dof) == pytest.approx(want, abs=1e-9)
+
+
+def test_columns_and_batches_without_values(spark):
+    from retentia.operators.drift import column_drift, drift_summary
+
+    schema = "a double, b double, c string, d string, e double"
+    reference = spark.createDataFrame([(float(i), None, "x", None, float(i)) for i in range(40)], schema)
+    batch = spark.createDataFrame([(float(i), float(i), None, None, float(i)) for i in range(30)], schema)
+    out = {r["column"]: (r["method"] == "no_values", r["drifted"]) for r in column_drift(reference, batch).collect()}
+    assert out == {"a": (False, out["a"][1]), "b": (True, True), "c": (True, True), "d": (True, False), "e": (False, out["e"][1])}
+    empty = column_drift(reference, batch.limit(0))
+    assert sorted((r["column"], r["drifted"]) for r in empty.collect()) == [("a", True), ("b", False), ("c", True), ("d", False), ("e", True)]
+    assert drift_summary(empty).first()["n_columns"] == 5

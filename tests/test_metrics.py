@@ -29,10 +29,24 @@ def brute_force(y, score):
 
 
 def test_hand_computed(spark):
-    row = classification_metrics(frame(spark, [0, 0, 1, 1], [0, 1, 1, 1], [0.1, 0.6, 0.7, 0.8])).first()
-    assert row["precision"] == pytest.approx(2 / 3) and row["recall"] == 1.0
-    assert row["f1"] == pytest.approx(0.8) and row["accuracy"] == 0.75
-    assert row["roc_auc"] == 1.0 and row["pr_auc"] == 1.0
+    row = classification_metrics(frame(spark, [0, 1, 0, 1, 1], [0, 1, 1, 0, 1], [0.2, 0.9, 0.55, 0.4, 0.7])).first()
+    assert row["precision"] == pytest.approx(2 / 3) and row["recall"] == pytest.approx(2 / 3)
+    assert row["f1"] == pytest.approx(2 / 3) and row["accuracy"] == 0.6
+    assert row["roc_auc"] == pytest.approx(5 / 6) and row["pr_auc"] == pytest.approx(11 / 12)
+
+
+def test_no_positives_and_no_rows(spark):
+    row = classification_metrics(frame(spark, [0, 0, 0], [0, 1, 0], [0.3, 0.6, 0.6])).first()
+    assert row["roc_auc"] is None and row["pr_auc"] is None and row["f1"] == 0.0 and row["accuracy"] == pytest.approx(2 / 3)
+    df = frame(spark, [0, 0, 1, 0, 1, 1], [0, 1, 1, 0, 1, 1], [0.1, 0.9, 0.8, 0.3, 0.6, 0.7], plan=["neg", "neg", "both", "both", "pos", None])
+    assert [r["segment"] for r in segment_metrics(df, ["plan"]).collect()] == ["plan=both"]
+    assert segment_metrics(df.limit(0), ["plan"]).collect() == []
+
+
+def test_a_null_score_is_an_error(spark):
+    df = frame(spark, [0, 1], [0, 1], [0.1, 0.2]).withColumn("score", F.when(F.col("churn") == 1, F.col("score")))
+    with pytest.raises(Exception, match="no score"):
+        classification_metrics(df).collect()
 
 
 @pytest.mark.parametrize("levels", [3, 40, 100000])

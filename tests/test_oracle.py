@@ -1,7 +1,10 @@
 import pytest
 from compare import DATA, compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from retentia.plans import model_queries  # noqa: F401  (registers the model queries)
+from retentia.plans.oracle import ORACLE
+from retentia.plans.queries import QUERIES
 
 MODEL_QUERIES = {"model_selection", "cv_search", "promotion_flow", "score_batch", "tree_explain", "linear_model_explain", "monitoring_flow"}
 
@@ -12,13 +15,13 @@ def duck():
 
 
 def test_names_line_up():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == MODEL_QUERIES | {"drift_small_reference"}
+    assert set(ORACLE) <= set(QUERIES) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == MODEL_QUERIES | {"drift_small_reference"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, duck, name):
-    assert compare(spark, duck, name, queries()[name], oracle_sql()[name]) is None
+    assert compare(spark, duck, name, QUERIES[name], ORACLE[name]) is None
 
 
 def test_flagship(spark):

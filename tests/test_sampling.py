@@ -113,3 +113,16 @@ def test_sweep_repeats_the_same_draws_per_intensity(spark):
     assert rows(out) == rows(drift_sweep(df.repartition(7), "id", plan, "label"))
     other = drift_sweep(df, "id", BatchPlan(batch_size=40, seed=1, intensities=(0.0, 1.0), specs=plan.specs), "label")
     assert rows(out) != rows(other)
+
+
+def test_null_labels_are_a_class(spark):
+    from retentia.operators.sampling import bootstrap, stratified_folds, stratified_split
+
+    df = spark.range(1000).selectExpr("id", "case when id % 4 = 0 then null else cast(id % 2 as int) end as y")
+    out = stratified_split(df, "y", "id")
+    assert sorted((r["y"] is None, r["y"] or 0, r["n"]) for r in out.where("is_test = 1").groupBy("y").agg(F.count("*").alias("n")).collect()) == [(False, 0, 50), (False, 1, 100), (True, 0, 50)]
+    sizes = stratified_folds(df, "y", "id").where("y is null").groupBy("fold").count().collect()
+    assert sorted(r["count"] for r in sizes) == [50] * 5
+    repeated = spark.range(100).selectExpr("id % 50 as id")
+    with pytest.raises(Exception, match="repeated"):
+        bootstrap(repeated, "id", 100).collect()
