@@ -31,7 +31,7 @@ LENGTH = 400
 GRAM = 64
 CELL = 32
 PIECE = 1 << 20  # window starts handled at once
-FEW = 1_000_000  # texts whose digests may be broadcast; above, the same joins are shuffled
+FEW = 1_000_000  # digests of 16 bytes, or stretches, that may be broadcast; above, the same joins are shuffled
 BITS = U(24)
 
 
@@ -139,6 +139,19 @@ def _window_rows(length: int):
     return run
 
 
+def _merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Overlapping and touching stretches of a text become one."""
+    for batch in batches:
+        out = []
+        for spans in batch.column("spans"):
+            start, end = (spans.values.field(c).to_numpy() for c in ("start", "end"))
+            order = np.argsort(start, kind="stable")
+            start, reach = start[order], np.maximum.accumulate(end[order])
+            first = np.flatnonzero(np.append(True, start[1:] > reach[:-1]))
+            out.append([{"start": int(a), "end": int(b)} for a, b in zip(start[first], reach[np.append(first[1:], len(start)) - 1])])
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, batch.schema.field("spans").type)], ["digest", "spans"])
+
+
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept, removed, runs = [], [], []
@@ -171,7 +184,7 @@ def _texts(base: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(digest, spans): the stretches of each text to remove, unmerged; only texts that have any.
+    """(digest, spans): the stretches of each text to remove, apart from each other; only texts that have any.
 
     ``base`` has (digest, text as bytes); equal digests are equal texts.
     """
@@ -208,7 +221,8 @@ def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     copies = long.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("end")).where(F.col("n") > 1)
     copies = copies.select("digest", F.lit(0).alias("start"), "end")
     every = sure.unionByName(single).unionByName(copies)
-    return every.groupBy("digest").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    gathered = every.groupBy("digest").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return gathered.mapInArrow(_merged_rows, gathered.schema)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -221,7 +235,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     base = docs.select(F.unhex(F.md5(body)).alias("digest"), body.alias("text"))
     spans = written(repeated_spans(base, length, gram), "removed").withColumnRenamed("digest", "_digest")
-    few = spans.count() <= FEW
+    few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= FEW
     rows = docs.select(F.struct("*").alias("row"), F.unhex(F.md5(body)).alias("_own"), body.alias("text"))
     joined = rows.join(F.broadcast(spans) if few else spans, F.col("_own") == F.col("_digest"), "left").select("row", "text", "spans")
     kind = joined.schema["row"].dataType.simpleString()
