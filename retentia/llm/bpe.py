@@ -25,10 +25,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 32 << 20  # of text per bucket of the word table
-WORDS_AT_ONCE = 20_000
-TOKENS_AT_ONCE = 1 << 20
+CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20  # of text per bucket of the word table
+WORDS_AT_ONCE = 5_000
+TOKENS_AT_ONCE = 1 << 19
 
 _TOKENIZERS: dict[str, object] = {}
 
