@@ -25,6 +25,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retentia.llm.common import bounded_batches
+
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20  # of text per bucket of the word table
 WORDS_AT_ONCE = 5_000
@@ -180,6 +182,7 @@ def encode(docs: DataFrame, content: str, text: str = "text", keep: list[str] |
     named as ``ids`` is replaced. An empty table gives an empty result.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != ids.lower()]
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = int(max(16, total // BUCKET_BYTES))
@@ -226,6 +229,7 @@ def decode(encoded: DataFrame, content: str, ids: str = "ids", keep: list[str] |
     if json.loads(content).get("decoder"):
         raise ValueError("only tokenizers without a decoder step are supported")
     keep = [c for c in (encoded.columns if keep is None else keep) if c.lower() != decoded.lower()]
+    bounded_batches(encoded.sparkSession)
     rows = encoded.select(F.struct(*keep).alias("row"), F.col(ids).alias("_ids"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, _ids array<int>, _text string"
     return rows.mapInArrow(_decoded(pieces(content)), schema).select("row.*", F.col("_text").alias(decoded))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from retentia.session import shared_dir
 
 ASCII_SPACE_WORD = r"[^\x20\x09-\x0D]+"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT, BATCH_BYTES = "67108864b", "4194304b"
 ASCII_LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -37,6 +39,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(ASCII_SPACE_WORD)), F.lit(0)).cast("bigint")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit on an Arrow batch to 4 MB where it is at its default of 64 MB.
+
+    A task holds a batch several times, in the JVM and in Python, and text reaches 64 MB in a few thousand rows. No
+    result depends on where batches end.
+    """
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder, read back: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/retentia-llm/{name}-{uuid.uuid4().hex}"

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retentia.llm.common import draw
+from retentia.llm.common import bounded_batches, draw
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -153,6 +153,7 @@ def identify(docs: DataFrame, model: KernelModel, text: str = "text", keep: list
     scored from its own text alone, so repeated rows agree; ties go to the first language by name.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
+    bounded_batches(docs.sparkSession)
     row = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
     schema = f"row {row.schema['row'].dataType.simpleString()}, _pred string, _score double"
     scored = row.mapInArrow(_scored_rows(model), schema)

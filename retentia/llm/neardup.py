@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import written
+from retentia.llm.common import bounded_batches, written
 from retentia.llm.components import connected_components
 from retentia.llm.texthash import U, WordHasher, shingle_hashes, slices, text_buffer
 
@@ -295,6 +295,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     can't be named as partners: component null, kept. Rows that repeat a key are one node, so what their texts
     link to is connected. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     finder = _Finder(docs, key, text, settings)
     labels = finder.components().withColumnRenamed("node", "id").withColumnRenamed("label", "component_id")
     classes = finder.classes.select("digest", "id").join(labels, "id", "left")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import written
+from retentia.llm.common import bounded_batches, written
 from retentia.llm.texthash import BASE, U, byte_codes, inverse, mixed, powers
 
 LENGTH = 400
@@ -232,6 +232,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     strings never cross documents and are judged on the input. Null texts count as empty; texts shorter than
     ``length`` stay whole; repeated rows are each other's copies. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     base = docs.select(F.unhex(F.md5(body)).alias("digest"), body.alias("text"))
     spans = written(repeated_spans(base, length, gram), "removed").withColumnRenamed("digest", "_digest")
