@@ -1,8 +1,8 @@
 """Running sums over an order, spread over many tasks.
 
 A plain ``Window.partitionBy(key).orderBy(value)`` puts each key on one task, and a metric over the
-whole table has one key. Here each key's values are cut into ranges first. The cuts come from a
-sample picked by hash, so they are the same on every run and never change a result; they only decide
+whole table has one key. Here each key's values are cut into ranges first. Their number follows the
+session's shuffle partitions. The cuts come from a sample picked by hash, so they are the same on every run and never change a result; they only decide
 how the work is spread. Each range then needs one offset (a few rows per key) plus a window inside
 the range.
 """
@@ -11,13 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGES = 256
+LEAST_RANGES = 256
 
 
-def range_cuts(counts: DataFrame, keys: Sequence[str], value: str, ranges: int = DEFAULT_RANGES) -> DataFrame:
+def default_ranges(spark: SparkSession) -> int:
+    """A power of two, no less than the session's shuffle partitions, so that one key can use all of them."""
+    return 1 << (max(LEAST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length()
+
+
+def range_cuts(counts: DataFrame, keys: Sequence[str], value: str, ranges: int) -> DataFrame:
     """Up to ``ranges`` sorted sample values per key, as an array column ``cuts``.
 
     One value per hash cell (the one with the smallest second hash): a mergeable, order-free sample
@@ -54,7 +59,7 @@ def running_sums(
     value: str,
     measures: Sequence[str],
     *,
-    ranges: int = DEFAULT_RANGES,
+    ranges: int | None = None,
     bounded_keys: bool = False,
     with_next: bool = False,
 ) -> DataFrame:
@@ -67,7 +72,7 @@ def running_sums(
     the cut and offset tables hinted as broadcasts. Otherwise the join is left to the optimizer,
     which broadcasts on measured size and splits skewed partitions beyond it.
     """
-    keys = list(keys)
+    keys, ranges = list(keys), ranges or default_ranges(counts.sparkSession)
     small = F.broadcast if bounded_keys else (lambda frame: frame)
     # The filter keeps every row. It makes all three readers of `counts` ask for the same columns,
     # so that they share one shuffled copy instead of reading the input three times.
@@ -121,7 +126,7 @@ def exact_quantiles(
     probabilities: dict[str, float],
     *,
     bounded_keys: bool = False,
-    ranges: int = DEFAULT_RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per key from (keys, value, n) counts, one column per name.
 

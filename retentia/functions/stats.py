@@ -25,6 +25,23 @@ def kolmogorov_tail(statistic: Column, n1: Column, n2: Column, terms: int = 100)
     return F.when(t < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(2 * series, F.lit(0.0)), F.lit(1.0)))
 
 
+def _poisson_sum(mean: float, n: int, shift: float) -> float:
+    """Sum over i < n of mean^(i + shift) e^-mean / gamma(i + shift + 1), outwards from its largest term.
+
+    Terms too small to change the sum end it, so the steps grow with the root of ``mean``, not with ``n``.
+    """
+    if mean <= 0:
+        return 1.0 if n and not shift else 0.0
+    top, total = min(n - 1, int(mean)), 0.0
+    for places in (range(top, -1, -1), range(top + 1, n)):
+        for i in places:
+            term = math.exp((i + shift) * math.log(mean) - math.lgamma(i + shift + 1) - mean)
+            total += term
+            if term <= total * 1e-17:
+                break
+    return total
+
+
 def _chi_square_tail(x: float, dof: float) -> float:
     """P(X > x) from the finite series that hold for whole degrees of freedom."""
     if x is None or dof is None or math.isnan(x) or math.isnan(dof) or dof < 1:
@@ -33,14 +50,8 @@ def _chi_square_tail(x: float, dof: float) -> float:
         return 0.0
     half, k = x / 2.0, int(dof)
     if k % 2 == 0:
-        logs = [i * math.log(half) - math.lgamma(i + 1) - half for i in range(k // 2)] if half > 0 else [0.0]
-        return min(1.0, sum(math.exp(v) for v in logs))
-    tail = math.erfc(math.sqrt(half))
-    if half > 0:
-        tail += sum(
-            math.exp((i - 0.5) * math.log(half) - math.lgamma(i + 0.5) - half) for i in range(1, (k - 1) // 2 + 1)
-        )
-    return min(1.0, tail)
+        return min(1.0, _poisson_sum(half, k // 2, 0.0))
+    return min(1.0, math.erfc(math.sqrt(half)) + _poisson_sum(half, k // 2, 0.5))
 
 
 @F.pandas_udf(DoubleType())

@@ -4,12 +4,15 @@ Every test is computed from value counts: one row per (column, value) with the r
 count per batch side by side. The reference is counted once however many batches there are, and the
 counts are written to the shared folder because several tests read them.
 
-Test per column (our contract):
+The test of a column is declared in the rule, by kind or by column, and never follows from how many rows or
+values were seen:
 
-* reference of at most 1000 rows: two-sample Kolmogorov-Smirnov for numeric columns with more than 5
-  values, else chi-square, or the two-sided two-proportion z test for 2 levels; drifted when p < 0.05;
-* larger reference: Wasserstein distance over the reference's standard deviation for numeric columns
-  with more than 5 values, else Jensen-Shannon distance; drifted when >= 0.1.
+* ``wasserstein`` (numeric columns; over the reference's standard deviation) and ``jensen_shannon``: drifted when >= 0.1;
+* ``ks`` (two-sample Kolmogorov-Smirnov, numeric columns), ``chi_square`` and ``z_test`` (two-sided, two proportions):
+  p-values, drifted when < 0.05.
+
+A test of levels on a numeric column takes its values as levels. ``z_test`` is for columns of two levels: more than two on
+both sides together give the p-value 0. A test without a defined score has a null score and counts as drifted.
 
 A column without any value in the reference or in the batch can't be tested. It gets a row with the method
 ``no_values`` and no score, counts as drifted if only one of the two lacks values, and stays in the dataset share.
@@ -18,7 +21,7 @@ A column without any value in the reference or in the batch can't be tested. It
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +35,9 @@ from retentia.session import written
 
 REFERENCE = "ref"
 NO_VALUES = "no_values"
+LEVEL_TESTS = ("jensen_shannon", "chi_square", "z_test")
+NUMERIC_TESTS = ("wasserstein", "ks", *LEVEL_TESTS)
+P_VALUES = ("ks", "chi_square", "z_test")
 
 
 @dataclass(frozen=True)
@@ -40,11 +46,19 @@ class DriftRule:
 
     distance_threshold: float = 0.1
     p_threshold: float = 0.05
-    small_reference: int = 1000
-    few_values: int = 5
     min_std: float = 0.001
     log_base: float = 2.0
     drift_share: float = 0.5
+    numeric_test: str = "wasserstein"
+    text_test: str = "jensen_shannon"
+    column_tests: Mapping[str, str] = field(default_factory=dict)
+
+    def test(self, column: str, kind: str) -> str:
+        """The test declared for a column; one that its kind can't have is an error."""
+        name = self.column_tests.get(column, self.numeric_test if kind == "numeric" else self.text_test)
+        if name not in (NUMERIC_TESTS if kind == "numeric" else LEVEL_TESTS):
+            raise ValueError(f"no test {name!r} for the {kind} column {column!r}")
+        return name
 
 
 def _long(df: DataFrame, numeric: Sequence[str], text: Sequence[str], frame: Column) -> DataFrame:
@@ -173,41 +187,42 @@ def reference_spread(counts: DataFrame) -> DataFrame:
     return centred.groupBy("column").agg(F.sqrt(F.try_divide(F.sum(n * gap * gap), F.sum(n))).alias("std"))
 
 
-def choose_tests(stats: DataFrame, spread: DataFrame, n_reference: Column, rule: DriftRule = DriftRule()) -> DataFrame:
-    """Pick each column's test and verdict: (batch, column, method, score, threshold, drifted)."""
-    small = n_reference <= rule.small_reference
-    continuous = (F.col("kind") == "numeric") & (F.col("n_ref_values") > rule.few_values)
+def choose_tests(stats: DataFrame, spread: DataFrame, tests: Mapping[str, str], rule: DriftRule = DriftRule()) -> DataFrame:
+    """Score and verdict by each column's declared test: (batch, column, kind, method, score, threshold, drifted).
+
+    Only the tests that are declared enter the plan, and the tail probabilities get no input from rows of other tests.
+    """
     absent = (F.col("n_ref") == 0) | (F.col("n_cur") == 0)
-    method = (
-        F.when(absent, NO_VALUES)
-        .when(small & continuous, "ks")
-        .when(small & (F.col("n_ref_values") > 2), "chi_square")
-        .when(small, "z_test")
-        .when(continuous, "wasserstein")
-        .otherwise("jensen_shannon")
-    )
-    tested = stats.join(F.broadcast(spread), "column", "left").withColumn("method", method)
-    normed = F.col("wasserstein") / F.greatest(F.col("std"), F.lit(rule.min_std))
-    score = (
-        F.when(F.col("method") == "ks", kolmogorov_tail(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
-        .when(F.col("method") == "chi_square", chi_square_tail(F.col("chi2"), (F.col("n_levels") - 1).cast("double")))
-        .when(F.col("method") == "z_test", two_sided_normal_tail(F.col("z")))
-        .when(F.col("method") == "wasserstein", normed)
-        .when(F.col("method") == "jensen_shannon", F.col("jensen_shannon"))
+    tested = stats.join(F.broadcast(spread), "column", "left").withColumn(
+        "method", F.when(absent, NO_VALUES).otherwise(lookup(F.col("column"), tests))
     )
-    is_p = F.col("method").isin("ks", "chi_square", "z_test")
-    scored = tested.withColumn("score", score).withColumn(
+
+    def only(name: str, value: Column) -> Column:
+        return F.when(F.col("method") == name, value.cast("double"))
+
+    scores = {
+        "ks": lambda: kolmogorov_tail(F.col("ks"), F.col("n_ref"), F.col("n_cur")),
+        "chi_square": lambda: chi_square_tail(only("chi_square", F.col("chi2")), only("chi_square", F.col("n_levels") - 1)),
+        "z_test": lambda: F.when(F.col("n_levels") > 2, 0.0).otherwise(two_sided_normal_tail(only("z_test", F.col("z")))),
+        "wasserstein": lambda: F.col("wasserstein") / F.greatest(F.col("std"), F.lit(rule.min_std)),
+        "jensen_shannon": lambda: F.col("jensen_shannon"),
+    }
+    score = F.coalesce(F.lit(None).cast("double"), *[F.when(F.col("method") == name, scores[name]()) for name in sorted(set(tests.values()))])
+    is_p = F.col("method").isin(*P_VALUES)
+    scored = tested.withColumn("score", F.nanvl(score, F.lit(None).cast("double"))).withColumn(
         "threshold", F.when(is_p, F.lit(rule.p_threshold)).otherwise(F.lit(rule.distance_threshold))
     )
     one_sided = (F.col("n_ref") == 0) != (F.col("n_cur") == 0)
     drifted = F.when(F.col("method") == NO_VALUES, one_sided).when(is_p, F.col("score") < F.col("threshold")).otherwise(F.col("score") >= F.col("threshold"))
-    return scored.select("batch", "column", "kind", "method", "score", "threshold", F.coalesce(drifted, F.lit(False)).alias("drifted"))
+    return scored.select("batch", "column", "kind", "method", "score", "threshold", F.coalesce(drifted, F.lit(True)).alias("drifted"))
 
 
 def _drift(
     reference: DataFrame, batches: DataFrame, frame: Column, names: Sequence[str], rule: DriftRule, skip: Sequence[str]
 ) -> DataFrame:
     numeric, text = column_types(reference, skip)
+    kinds = [(c, "numeric") for c in numeric] + [(c, "text") for c in text]
+    tests = {c: rule.test(c, k) for c, k in kinds}
     aliases = {f"b{i}": name for i, name in enumerate(names)}
     counts = written(value_counts(reference, batches, frame, aliases, numeric, text), "drift-counts")
     stats, spread = [], reference.sparkSession.createDataFrame([], "column string, std double")
@@ -216,10 +231,8 @@ def _drift(
         spread = reference_spread(numeric_counts(counts))
     if text:
         stats.append(level_distances(text_counts(counts), list(aliases), rule))
-    n_reference = reference.agg(F.count("*")).scalar()
-    chosen = choose_tests(reduce(DataFrame.unionByName, stats), spread, n_reference, rule)
+    chosen = choose_tests(reduce(DataFrame.unionByName, stats), spread, tests, rule)
     # A row for every column of the schema and every batch, also where neither side has a value.
-    kinds = [(c, "numeric") for c in numeric] + [(c, "text") for c in text]
     listed = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind")) for c, k in kinds])
     frames = F.array(*[F.lit(a) for a in aliases])
     every = reference.sparkSession.range(1).select(F.explode(listed).alias("c"), F.lit(0).alias("_")).select("c.*", F.explode(frames).alias("batch"))

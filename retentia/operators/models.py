@@ -18,25 +18,26 @@ from retentia.operators.metrics import METRICS, classification_metrics
 from retentia.operators.preprocess import FEATURES, WEIGHT, ClassWeigher, TableEncoder, helper_columns
 
 UNKNOWN_VERSION = "unknown"
-UNLIMITED_DEPTH = 8
 
 # The default settings of each family.
 DEFAULT_PARAMS: dict[str, dict[str, object]] = {
     "logistic_regression": {"max_iter": 1000, "C": 1.0},
     "boosted_trees": {"n_estimators": 300, "max_depth": 5, "learning_rate": 0.1},
-    "boosted_trees_deep": {"n_estimators": 300, "max_depth": -1, "learning_rate": 0.1},
+    "boosted_trees_deep": {"n_estimators": 300, "max_depth": 8, "learning_rate": 0.1},
     "native_categories": {"n_estimators": 300, "max_depth": 6, "learning_rate": 0.1},
 }
 
 
 def tree_params(params: Mapping[str, object]) -> dict[str, object]:
-    """Search-space names to the learner's own; a negative depth means no limit of its own."""
+    """Search-space names to the learner's own; a negative depth is an error, as the learner needs one."""
     out: dict[str, object] = {}
     for name, value in params.items():
         if name == "n_estimators":
             out["maxIter"] = int(value)
         elif name == "max_depth":
-            out["maxDepth"] = UNLIMITED_DEPTH if int(value) < 0 else int(value)
+            if int(value) < 0:
+                raise ValueError(f"max_depth must not be negative: {value}")
+            out["maxDepth"] = int(value)
         elif name == "learning_rate":
             out["stepSize"] = float(value)
         elif name == "min_child_samples":

@@ -452,7 +452,7 @@ oracle(
 
 
 def _drift(ref: str, cur: str, batch: str, numeric, text, ref_where: str = "TRUE", cur_where: str = "TRUE") -> str:
-    """CTEs ending in ``cols(batch, column, kind, method, score, drifted)`` by the large-reference tests."""
+    """CTEs ending in ``cols(batch, column, kind, method, score, drifted)`` by the distance tests."""
     parts = []
     if numeric:
         cur_rows = " UNION ALL ".join(f"SELECT {batch} AS batch, '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM {cur} WHERE {cur_where}" for c in numeric)
@@ -469,8 +469,8 @@ def _drift(ref: str, cur: str, batch: str, numeric, text, ref_where: str = "TRUE
             sum(CASE WHEN nr > 0 THEN nr / CAST(tr AS DOUBLE) * log2(2 * (nr / CAST(tr AS DOUBLE)) / (nr / CAST(tr AS DOUBLE) + nc / CAST(tc AS DOUBLE))) ELSE 0 END
               + CASE WHEN nc > 0 THEN nc / CAST(tc AS DOUBLE) * log2(2 * (nc / CAST(tc AS DOUBLE)) / (nr / CAST(tr AS DOUBLE) + nc / CAST(tc AS DOUBLE))) ELSE 0 END) AS js
             FROM cum JOIN nt USING (col) JOIN nct USING (batch, col) GROUP BY batch, col),
-        ncols AS (SELECT batch, col AS "column", 'numeric' AS kind, CASE WHEN nd > 5 THEN 'wasserstein' ELSE 'jensen_shannon' END AS method,
-            CASE WHEN nd > 5 THEN w1 / greatest(s, 0.001) ELSE sqrt(greatest(0.5 * js, 0)) END AS score FROM nstat JOIN sd USING (col))""")
+        ncols AS (SELECT batch, col AS "column", 'numeric' AS kind, 'wasserstein' AS method,
+            w1 / greatest(s, 0.001) AS score FROM nstat JOIN sd USING (col))""")
     if text:
         cur_rows = " UNION ALL ".join(f"SELECT {batch} AS batch, '{c}' AS col, {c} AS v FROM {cur} WHERE {cur_where}" for c in text)
         ref_rows = " UNION ALL ".join(f"SELECT '{c}' AS col, {c} AS v FROM {ref} WHERE {ref_where}" for c in text)
@@ -524,6 +524,21 @@ oracle(
     'SELECT batch, "column", kind, method, round(score, 6) AS score, 0.1::DOUBLE AS threshold, drifted FROM cols',
     _era_drift(["o_totalprice", "o_custkey"], ["o_orderpriority", "o_orderstatus"]),
 )
+oracle(
+    "drift_p_values",
+    """SELECT "column", kind, method, round(p, 6) AS score, 0.05::DOUBLE AS threshold, p < 0.05 AS drifted FROM (
+       SELECT col AS "column", 'numeric' AS kind, 'ks' AS method, CASE WHEN t < 0.2 THEN 1.0::DOUBLE ELSE least(greatest(
+           2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * k * k * t * t))), 0), 1) END AS p
+       FROM (SELECT col, ks * sqrt(CAST(n_ref AS DOUBLE) * CAST(n_cur AS DOUBLE) / CAST(n_ref + n_cur AS DOUBLE)) AS t FROM nstat)
+       UNION ALL
+       SELECT col, 'text', 'chi_square', CASE WHEN new_level THEN 0.0::DOUBLE ELSE
+           1 - list_sum(list_transform(range(0, 5000), lambda i: exp((a + i) * ln(h) - h - lgamma(a + i + 1)))) END
+       FROM (SELECT col, bool_or(p = 0 AND nc > 0) AS new_level, (count(*) - 1) / 2.0::DOUBLE AS a,
+                    greatest(sum(CASE WHEN p > 0 THEN (nc - p * tc) * (nc - p * tc) / (p * tc) ELSE 0 END) / 2, 1e-300::DOUBLE) AS h
+             FROM lv JOIN (SELECT batch, col, CAST(sum(nc) AS DOUBLE) AS tc FROM lc GROUP BY batch, col) USING (batch, col) GROUP BY col))""",
+    _drift("scored", "scored", "'current'", b.NUMERIC, b.TEXT, "tenure_in_months < 55", "tenure_in_months >= 55"),
+    base=True,
+)
 oracle(
     "drift_summary",
     """SELECT batch AS batch_name, count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS n_drifted_columns,

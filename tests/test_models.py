@@ -207,3 +207,8 @@ def test_selection_monitoring_and_retrain_check(spark, workspace):
 
 def test_flow_features(workspace):
     assert FeatureSpec().target == "Churn Label" and workspace.key == "Customer ID"
+
+
+def test_a_negative_depth_is_refused():
+    with pytest.raises(ValueError, match="max_depth"):
+        models.tree_params({"max_depth": -1})
