@@ -25,15 +25,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches
+from retentia.llm.common import bounded_batches, release_memory, releasing
 
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20  # of text per bucket of the word table
 WORDS_AT_ONCE = 5_000
 TOKENS_AT_ONCE = 1 << 19
 
-_TOKENIZERS: dict[str, object] = {}
-
 
 def load(path: str) -> str:
     """The tokenizer file's content, which tasks get with their code; the path is needed on the driver only."""
@@ -42,16 +40,14 @@ def load(path: str) -> str:
 
 
 def _tokenizer(content: str):
-    digest = hashlib.md5(content.encode()).hexdigest()
-    if digest not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    """Made anew for each bucket of words, as one that a reused worker kept would hold 50 MB to its end."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        made = Tokenizer.from_str(content)
-        made.no_truncation()
-        made.no_padding()
-        _TOKENIZERS[digest] = made
-    return _TOKENIZERS[digest]
+    made = Tokenizer.from_str(content)
+    made.no_truncation()
+    made.no_padding()
+    return made
 
 
 def _pack(data: bytes) -> bytes:
@@ -122,8 +118,11 @@ def _encoded_bucket(content: str):
             some = distinct[at : at + WORDS_AT_ONCE]
             for word, coded in zip(some, tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)):
                 table[word] = np.array(coded.ids, np.int32)
+        del tokenizer
         sizes = [_pack(np.array([len(table[w]) for w in words], np.int32).tobytes()) for words in lists]
         ids = [_pack(np.concatenate([table[w] for w in words]).tobytes()) for words in lists]
+        del lists, table, distinct
+        release_memory()
         return pa.table({"chunk": requests.column("chunk"), "bucket": requests.column("bucket"), "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
     return run
@@ -169,6 +168,7 @@ def _assembled(buckets: int):
             values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
             out.append(chunk.drop_columns(["text"]).append_column("_ids", lists))
+        release_memory()
         return pa.concat_tables(out) if out else pa.table({"row": [], "_ids": []})
 
     return run
@@ -186,9 +186,9 @@ def encode(docs: DataFrame, content: str, text: str = "text", keep: list[str] |
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = int(max(16, total // BUCKET_BYTES))
-    requests = rows.select("text").mapInArrow(_requests(buckets), "bucket int, chunk binary, words binary")
+    requests = rows.select("text").mapInArrow(releasing(_requests(buckets)), "bucket int, chunk binary, words binary")
     replies = requests.groupBy("bucket").applyInArrow(_encoded_bucket(content), "chunk binary, bucket int, sizes binary, ids binary")
-    packed = rows.mapInArrow(_packed, "chunk binary, rows binary")
+    packed = rows.mapInArrow(releasing(_packed), "chunk binary, rows binary")
     schema = f"row {rows.schema['row'].dataType.simpleString()}, _ids array<int>"
     done = packed.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_assembled(buckets), schema)
     return done.select("row.*", F.col("_ids").alias(ids))
@@ -232,4 +232,4 @@ def decode(encoded: DataFrame, content: str, ids: str = "ids", keep: list[str] |
     bounded_batches(encoded.sparkSession)
     rows = encoded.select(F.struct(*keep).alias("row"), F.col(ids).alias("_ids"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, _ids array<int>, _text string"
-    return rows.mapInArrow(_decoded(pieces(content)), schema).select("row.*", F.col("_text").alias(decoded))
+    return rows.mapInArrow(releasing(_decoded(pieces(content))), schema).select("row.*", F.col("_text").alias(decoded))

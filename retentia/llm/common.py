@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,26 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
 
+def release_memory() -> None:
+    """Give a Python worker's free memory back to the system.
+
+    Spark reuses its workers, and each keeps the most that any of its tasks needed for as long as the executor lives.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
+def releasing(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that releases memory when its task has read its last batch."""
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(rows)
+        release_memory()
+
+    return batches
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder, read back: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/retentia-llm/{name}-{uuid.uuid4().hex}"

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, draw
+from retentia.llm.common import bounded_batches, draw, releasing
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -100,7 +100,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     near = rows.where(F.col("place").cast("double") / F.lit(float(1 << 60)) <= F.element_at(cut, F.col("lang")))
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text")))
     chosen = ranked.where(F.col("rank") <= each).select("text", "lang", "place")
-    picked = chosen.orderBy("place", "lang").mapInArrow(_presence_rows(settings), "lang string, bits binary").collect()
+    picked = chosen.orderBy("place", "lang").mapInArrow(releasing(_presence_rows(settings)), "lang string, bits binary").collect()
     languages = tuple(sorted(counts))
     bits = np.stack([np.frombuffer(r["bits"], np.uint8) for r in picked])
     truth = np.array([[float(r["lang"] == n) for n in languages] for r in picked], np.float64)
@@ -156,7 +156,7 @@ def identify(docs: DataFrame, model: KernelModel, text: str = "text", keep: list
     bounded_batches(docs.sparkSession)
     row = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
     schema = f"row {row.schema['row'].dataType.simpleString()}, _pred string, _score double"
-    scored = row.mapInArrow(_scored_rows(model), schema)
+    scored = row.mapInArrow(releasing(_scored_rows(model)), schema)
     return scored.select("row.*", F.col("_pred").alias("lang_pred"), F.col("_score").alias("score"))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, written
+from retentia.llm.common import bounded_batches, releasing, written
 from retentia.llm.components import connected_components
 from retentia.llm.texthash import U, WordHasher, shingle_hashes, slices, text_buffer
 
@@ -210,7 +210,7 @@ class _Finder:
     def __init__(self, docs: DataFrame, key: str, text: str, settings: NearDuplicates) -> None:
         self.settings = settings
         self.docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-        self.sketches = written(self.docs.mapInArrow(_sketched(settings), SKETCH), "sketches")
+        self.sketches = written(self.docs.mapInArrow(releasing(_sketched(settings)), SKETCH), "sketches")
         known = self.sketches.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
         # Equal word sequences are one class, known by its smallest id.
         self.classes = known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
@@ -279,7 +279,7 @@ class _Finder:
         texts = self._texts(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), name)
         for end in ("a", "b"):
             pairs = pairs.join(texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}")), end)
-        return written(pairs.mapInArrow(_confirmed(self.settings), "a long, b long"), f"{name}-links")
+        return written(pairs.mapInArrow(releasing(_confirmed(self.settings)), "a long, b long"), f"{name}-links")
 
     def components(self) -> DataFrame:
         members = self.members()
