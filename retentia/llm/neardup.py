@@ -2,10 +2,10 @@
 
 A document's shingles are hashed once. The leading bits of a hash pick one of the registers; the smallest rest
 per register is kept as its number of leading zeros plus a few mantissa bits (16 bits in all). Bands of
-compressed registers give the buckets; the Jaccard estimate of two sketches, corrected for chance collisions of
+compressed registers, which cover all registers, give the buckets; the Jaccard estimate of two sketches, corrected for chance collisions of
 registers, drops poor candidates; the links are then confirmed on the full shingle sets.
 
-No bucket is expanded into all its pairs. Exact copies are one class. Each bucket first compares its members
+No bucket is expanded into all its pairs. Texts with equal shingle sets are one class. Each bucket first compares its members
 with a hub, the member that meets most others over all bands. Only buckets that still span several components
 go on: there, members of different components are compared in blocks of bounded size, so that no link between
 components is lost whatever the size of a bucket.
@@ -39,12 +39,12 @@ COLLISION = 0.169919487  # of two unequal registers, times 2**-mantissa bits and
 class NearDuplicates:
     words: int = 5
     threshold: tuple[int, int] = (85, 100)
-    rows: int = 5  # registers per band: a pair at 0.85 misses all 25 bands with a chance of 4e-7
+    rows: int = 5  # registers per band, the last band has the rest: a pair at 0.85 misses all bands with a chance of 2e-7
     slack: float = 0.15  # pairs estimated lower than threshold - slack are dropped; 4.7 deviations at 128 registers
 
     @property
     def bands(self) -> int:
-        return REGISTERS // self.rows
+        return -(-REGISTERS // self.rows)
 
     def shingles(self, words: np.ndarray) -> np.ndarray:
         """The sorted distinct shingle hashes; a shorter text is one shingle, no words none."""
@@ -86,10 +86,9 @@ def _sketched(settings: NearDuplicates):
                 words, at = hasher(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
                 counts, digests, sketches = [], [], []
                 for i in range(b - a):
-                    own = words[at[i] : at[i + 1]]
-                    hashes = settings.shingles(own)
+                    hashes = settings.shingles(words[at[i] : at[i + 1]])
                     counts.append(len(hashes))
-                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                    digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                     sketches.append(registers(hashes).tobytes())
                 columns = [batch.column("doc_id").slice(a, b - a), pa.array(counts, pa.int32()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "registers"])
@@ -145,7 +144,8 @@ def _across(part: pd.DataFrame, sketch: np.ndarray, settings: NearDuplicates) ->
     """
     least, ratio = settings.threshold[0] / settings.threshold[1] - settings.slack, settings.threshold[0] / settings.threshold[1]
     label, n, side, band = (part[c].to_numpy() for c in ("label", "n_shingles", "side", "band"))
-    banded = sketch[:, : settings.bands * settings.rows].reshape(len(sketch), settings.bands, settings.rows)
+    whole = np.pad(sketch, ((0, 0), (0, settings.bands * settings.rows - REGISTERS)))
+    banded = whole.reshape(len(sketch), settings.bands, settings.rows)
     filled = banded.any(-1)
     for i in range(len(part) - 1):
         rows = np.arange(i + 1, len(part))
@@ -212,16 +212,16 @@ class _Finder:
         self.docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
         self.sketches = written(self.docs.mapInArrow(releasing(_sketched(settings)), SKETCH), "sketches")
         known = self.sketches.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-        # Equal word sequences are one class, known by its smallest id.
+        # Equal shingle sets are one class, known by its smallest id.
         self.classes = known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
         self.classes = written(self.classes, "classes")
 
     def members(self) -> DataFrame:
         """(key, band, id, size) of the buckets with two classes or more."""
         width = 2 * self.settings.rows
-        bands = [F.substring("registers", i * width + 1, width) for i in range(self.settings.bands)]
-        empty = F.lit(bytes(width))
-        keys = F.array(*[F.when(b != empty, F.xxhash64(F.lit(i), b)) for i, b in enumerate(bands)])
+        sizes = [min(width, 2 * REGISTERS - i * width) for i in range(self.settings.bands)]
+        bands = [F.substring("registers", i * width + 1, size) for i, size in enumerate(sizes)]
+        keys = F.array(*[F.when(b != F.lit(bytes(size)), F.xxhash64(F.lit(i), b)) for i, (b, size) in enumerate(zip(bands, sizes, strict=True))])
         rows = self.classes.select("id", F.posexplode(keys).alias("band", "key")).where(F.col("key").isNotNull()).distinct()
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
         return written(rows.join(sizes, "key"), "members")

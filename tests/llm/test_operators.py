@@ -3,12 +3,14 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from retentia.llm import bpe, fingerprints, language, licenses, linededup, mixing, neardup, repeats, sharding, topk
+from retentia.llm.texthash import WordHasher
 
 SCHEMA = "doc_id long, text string, lang string, source string, size int, slot int, shard string, score double, lang_pred string, kept string, ids string, row int, place int"
 
@@ -84,6 +86,31 @@ def test_near_duplicates(odd):
     assert out[(6, 0)] == (6, True) and out[(7, 0)] == (7, True) and out[(8, 0)] == (8, True) and out[(None, 2)] == (None, True)
 
 
+def test_equal_shingle_sets_are_one_class_and_bands_cover_all_registers(spark):
+    settings, hasher = neardup.NearDuplicates(), WordHasher()
+
+    def filled(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return np.flatnonzero(neardup.registers(settings.shingles(hasher(data, np.array([0, len(data)]))[0])))
+
+    # Words whose only shingle falls into one of the last registers, and a word in another register.
+    last = next(w for w in map("w{}".format, range(10_000)) if filled(" ".join([w] * 5))[0] >= 125)
+    texts = {i: " ".join([w] * n) for i, (w, n) in enumerate([(last, 5), (last, 9), ("spam", 5), ("spam", 9), ("spam", 4)])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()}
+    assert out == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4}
+    for rows in (4, 5):
+        settings = neardup.NearDuplicates(rows=rows)
+        assert settings.bands * settings.rows >= neardup.REGISTERS
+    # Different sets that meet in the last band alone: of 128 registers all but the last three differ.
+    sketches = np.stack([np.arange(1, 129), np.arange(1001, 1129)]).astype(np.uint16)
+    sketches[1, 125:] = sketches[0, 125:]
+    members = neardup._Finder.__new__(neardup._Finder)
+    members.settings = neardup.NearDuplicates()
+    members.classes = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sketches)], "id long, registers binary")
+    assert [(r["id"], r["band"]) for r in members.members().orderBy("id").collect()] == [(0, 25), (1, 25)]
+
+
 def test_bpe_equals_the_library(odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     content, library = bpe.load(path), Tokenizer.from_file(path)
