@@ -13,3 +13,15 @@ def test_stages_pass_documents_on(spark):
         assert docs.columns == columns
         if name in ("language_id", "line_dedup", "minhash_near_dedup"):
             assert 0.8 * before < docs.count() <= before
+
+
+def test_near_copies_from_similarity_0_8_go(spark):
+    base = [f"w{i}" for i in range(104)]  # 100 shingles
+
+    def changed(i, n):
+        return " ".join(base[: 104 - n] + [f"x{i}-{j}" for j in range(n)])
+
+    # 90 of 110 shingles are shared with the base, 89 of 111 and 88 of 112: 0.818, 0.802 and 0.786.
+    texts = [(1, " ".join(base)), (2, changed(2, 10)), (3, changed(3, 11)), (4, changed(4, 12)), (5, "something else")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.minhash_near_dedup(spark, docs, DATA).collect()) == [1, 4, 5]
