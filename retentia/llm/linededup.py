@@ -1,8 +1,9 @@
-"""Line deduplication by winnowing.
+"""Line deduplication by fingerprints of line runs.
 
-Every window of consecutive lines selects its smallest line hash. Two texts that share a run of as many lines
-select a common fingerprint in it, wherever the run stands. Each occurrence of a fingerprint after the first one is
-laid on the first one and extended both ways while the lines agree; runs that are long enough are deleted.
+Every run of as many non-blank lines as are asked for, with the blank lines between them, is a fingerprint, so equal
+fingerprints are equal runs and the first place of one is a true partner of all others: this is winnowing with windows
+of one fingerprint, the only ones that lose no run of the least length. A run that stood earlier is deleted; longer runs
+are unions of such runs. Blank lines at the ends of a run belong to it as far as an earlier place has them too.
 """
 
 from __future__ import annotations
@@ -14,18 +15,16 @@ from pyspark.sql import functions as F
 
 from retentia.llm.common import written
 
-BLANK = 1 << 60  # larger than any line's hash, so a blank line is selected only among blank ones
+BLANK = 1 << 60  # larger than any line's hash
 
 
 @dataclass(frozen=True)
 class LineSettings:
-    window: int = 2  # lines; a repeated run of as many lines has a common fingerprint for certain
     least: int = 2  # lines that are not blank in a run to be deleted
-    reach: int = 4  # lines compared on either side of a fingerprint; the window or more, so neighbours' stretches meet
 
     def __post_init__(self) -> None:
-        if not 1 <= self.window <= min(self.least, self.reach):
-            raise ValueError("a window has 1 line or more, and no more than a run or the reach")
+        if self.least < 1:
+            raise ValueError("a run has 1 line or more")
 
 
 def _lines(text: Column) -> Column:
@@ -37,42 +36,49 @@ def _hashes(lines: Column) -> Column:
     return F.transform(lines, lambda x: F.when(F.trim(x) == "", F.lit(BLANK)).otherwise(digest(x)))
 
 
-def _agreeing(a: Column, b: Column) -> Column:
-    """How many leading entries two lists share."""
-    equal = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
-    differs = F.array_position(equal, F.lit(False)).cast("int")
-    return F.when(differs > 0, differs - 1).otherwise(F.size(equal))
+def _runs(rows: DataFrame, least: int) -> DataFrame:
+    """One row per run of ``least`` non-blank lines in ``h``: first and last line, the run's lines, blank lines before and after it.
 
+    ``body`` has the hashes of the non-blank lines, then how many lines further each stands than the first.
+    """
+    filled = F.filter(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("at"))), lambda p: p["h"] != BLANK)
+    rows = rows.withColumn("n", F.size("h")).withColumn("filled", filled)
+    count = F.size("filled") - least + 1
+    at = lambda i: F.get("filled", i)["at"]
+
+    def run(i: Column) -> Column:
+        own = F.slice("filled", i + 1, least)
+        first, last = at(i), at(i + (least - 1))
+        hashes = F.transform(own, lambda p: p["h"])
+        steps = F.transform(own, lambda p: (p["at"] - first).cast("bigint"))
+        before = first - F.coalesce(F.when(i > 0, at(i - 1)), F.lit(-1)) - 1
+        after = F.coalesce(at(i + least), F.col("n")) - last - 1
+        return F.struct(first.alias("first"), last.alias("last"), F.concat(hashes, steps).alias("body"), before.alias("before"), after.alias("after"))
 
-def _filled(values: Column) -> Column:
-    return F.size(F.filter(values, lambda x: x != BLANK))
+    runs = F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), run))
+    return rows.select("key", "text_hash", F.explode(runs).alias("run")).select("key", "text_hash", "run.*")
 
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: LineSettings = LineSettings()) -> DataFrame:
     """(key, text_hash, runs): the lines to delete per document, as an array of (first, last) line numbers from 0.
 
-    Documents stand in order of key, null last, then of a hash of the text; the first occurrence of a fingerprint is
-    its owner and stays. Lines are compared without blanks at their ends.
+    Documents stand in order of key, null last, then of a hash of the text; the first place of a run stays, all others
+    go, whatever stands around them. Lines are compared without blanks at their ends.
     """
-    w, reach = settings.window, settings.reach
     rows = docs.select(F.col(key).alias("key"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), _hashes(_lines(F.col(text))).alias("h"))
-    placed = F.transform("h", lambda x, i: F.struct(x.alias("h"), (-i).alias("at")))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - w, F.lit(0)))
-    chosen = F.array_distinct(F.transform(starts, lambda i: -F.array_min(F.slice(placed, i + 1, w))["at"]))
-    picked = rows.withColumn("at", F.explode(chosen)).withColumn("mark", F.get("h", F.col("at"))).where(F.col("mark") != BLANK)
-    left = F.reverse(F.slice("h", F.greatest(F.col("at") - reach, F.lit(0)) + 1, F.least(F.col("at"), F.lit(reach))))
-    right = F.slice("h", F.col("at") + 2, reach)
-    marks = picked.select("mark", F.struct(F.col("key").isNull().alias("late"), "key", "text_hash", "at", left.alias("left"), right.alias("right")).alias("place"))
-    marks = marks.repartition("mark")
-    owners = marks.groupBy("mark").agg(F.min("place").alias("owner"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    later = marks.join(owners, "mark").where(~F.struct("place.key", "place.text_hash", "place.at").eqNullSafe(F.struct("owner.key", "owner.text_hash", "owner.at")))
-    before, after = _agreeing(F.col("place.left"), F.col("owner.left")), _agreeing(F.col("place.right"), F.col("owner.right"))
-    later = later.withColumn("before", before).withColumn("after", after)
-    lines = 1 + _filled(F.slice("place.left", F.lit(1), F.col("before"))) + _filled(F.slice("place.right", F.lit(1), F.col("after")))
-    runs = later.where(lines >= settings.least).select(
-        "place.key", "place.text_hash", F.struct((F.col("place.at") - F.col("before")).alias("first"), (F.col("place.at") + F.col("after")).alias("last")).alias("run")
+    runs = _runs(rows, settings.least)
+    # The run alone, and with 1, 2, ... of the blank lines before or after it.
+    edges = F.explode(F.sequence(-F.col("before"), F.col("after")))
+    runs = runs.withColumn("edge", edges)
+    marks = runs.select(
+        *[F.xxhash64(F.lit(i), "body", "edge").alias(m) for i, m in enumerate(("mark", "second"))],  # 128 bits
+        F.struct(F.col("key").isNull().alias("late"), "key", "text_hash", "first").alias("place"),
+        F.struct((F.col("first") + F.least("edge", F.lit(0))).alias("first"), (F.col("last") + F.greatest("edge", F.lit(0))).alias("last")).alias("run"),
     )
-    return runs.groupBy("key", "text_hash").agg(F.collect_set("run").alias("runs"))
+    marks = marks.repartition("mark", "second")
+    owners = marks.groupBy("mark", "second").agg(F.min("place").alias("owner"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+    later = marks.join(owners, ["mark", "second"]).where(F.col("place") != F.col("owner"))
+    return later.groupBy("place.key", "place.text_hash").agg(F.collect_set("run").alias("runs"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: LineSettings = LineSettings()) -> DataFrame:

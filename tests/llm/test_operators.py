@@ -129,6 +129,27 @@ def test_later_line_runs_go(odd):
     assert linededup.dedup_lines(odd.limit(0)).count() == 0
 
 
+def test_runs_that_stood_earlier_go_whatever_stands_around_the_first_place(spark):
+    texts = ["a\nb\nc", "x\nb\nd\ny", "p\nb\nd\nq", "k\n\n\n\n\n\n\nl", "k\n\n\n\n\n\n\nl\nm", "e\ne\ne", "c\n\nd\n", "r\nc\n\nd\n\n"]
+    rng = random.Random(5)
+    texts += ["\n".join(rng.choice(["f", "g", "h", "", " "]) for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for least in (1, 2, 3):
+        seen, want = set(), {}
+        for d, text in enumerate(texts):  # ids are in order; every stretch by brute force
+            lines = [x.strip(" ") for x in text.split("\n")]
+            gone = set()
+            for a in range(len(lines)):
+                for b in range(a + 1, len(lines) + 1):
+                    if sum(x != "" for x in lines[a:b]) >= least:
+                        if tuple(lines[a:b]) in seen:
+                            gone.update(range(a, b))
+                        seen.add(tuple(lines[a:b]))
+            want[d] = (len(gone), "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone))
+        out = linededup.dedup_lines(docs, settings=linededup.LineSettings(least=least)).collect()
+        assert {r["row"]["doc_id"]: (r["n_removed"], r["kept"]) for r in out} == want
+
+
 def test_fingerprints(odd):
     out = fingerprints.edited_fingerprints(odd).collect()
     assert len(out) == len(TEXTS)
