@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retentia.llm import bpe, language, linededup, mixing, neardup
-from retentia.llm.common import documents, written
+from retentia.llm.common import documents, fresh, written
 
 #: The general rule for near duplicates on word shingles; 85/100 is the contract of op4's query alone. A pair at 0.8 misses all
 #: 32 bands with a chance of 5e-8, and the slack is 5.1 deviations of the estimate.
@@ -34,13 +34,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (links of similarity 0.8 or more), the one with the smallest id. Rows without an id stay; of rows that
-    share an id, which are one document to the groups, the one with the smallest hash of its text stays."""
-    groups = neardup.near_duplicates(docs, settings=NEAR)
-    kept = written(groups.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "kept-ids")
-    named = docs.join(kept, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    named = named.withColumn(place := "_near_dedup_place", F.row_number().over(first)).where(F.col(place) == 1).drop(place)
+    """One document of each group of near duplicates (links of similarity 0.8 or more), the one with the smallest id.
+
+    Rows without an id stay. Rows that share an id but not the text are documents of their own; of rows that share both
+    one stays, and of near copies with the same smallest id the one with the smallest key.
+    """
+    own = fresh(docs, "_near_dedup_key")
+    keyed = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    groups = neardup.near_duplicates(keyed, key=own, settings=NEAR).select(F.col("doc_id").alias(own), "component_id").distinct()
+    ids = keyed.select(own, "doc_id").join(groups, own)
+    kept = written(ids.groupBy("component_id").agg(F.min(F.struct("doc_id", own)).alias("first")).select(f"first.{own}"), "kept-keys")
+    named = keyed.join(kept, own, "left_semi")
+    same = Window.partitionBy(own).orderBy(F.xxhash64(*docs.columns))
+    named = named.withColumn(place := fresh(keyed, "_near_dedup_place"), F.row_number().over(same)).where(F.col(place) == 1)
     return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -25,3 +25,14 @@ def test_near_copies_from_similarity_0_8_go(spark):
     texts = [(1, " ".join(base)), (2, changed(2, 10)), (3, changed(3, 11)), (4, changed(4, 12)), (5, "something else")]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.minhash_near_dedup(spark, docs, DATA).collect()) == [1, 4, 5]
+
+
+def test_documents_that_share_an_id_go_only_as_near_copies(spark):
+    base = [f"w{i}" for i in range(104)]
+    near = " ".join(base[:-5] + ["x"] * 5)
+    texts = [(1, "one clean text"), (1, "another clean text"), (1, "one clean text"), (2, " ".join(base)), (2, near), (3, near), (None, near), (None, "n")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    out = [(r["doc_id"], r["text"]) for r in corpus_pipeline.minhash_near_dedup(spark, docs, DATA).collect()]
+    assert sorted(t for i, t in out if i == 1) == ["another clean text", "one clean text"]
+    assert len([t for i, t in out if i == 2]) == 1 and not [t for i, t in out if i == 3]
+    assert sorted(t for i, t in out if i is None) == sorted(["n", near])
