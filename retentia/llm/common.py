@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retentia.session import shared_dir
@@ -79,6 +79,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str, table: str) -> DataFrame:
+    """``rows`` with their number from 1 in ``order``, stored; no two rows may be equal in ``order``.
+
+    Rows are dealt and sorted by ranges of the order, and a range's first number is the count of the ranges before it. Only
+    one row per range goes through a window.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    stored = written(sorted_, table).withColumn("_range", F.shiftright("_at", 33))
+    sizes = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    own = F.col("_at") - F.shiftleft("_range", 33)
+    return stored.join(F.broadcast(starts), "_range").withColumn(name, (F.col("_before") + own + 1).cast("bigint")).select(*rows.columns, name)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -208,3 +208,76 @@ k AS (
   FROM d LEFT JOIN p ON p.doc_id = d.doc_id)
 SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256 FROM k
 """
+
+ORACLE["op11_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(len(w) - 49)) AS i, unnest(list_transform(range(len(w) - 49), lambda i: md5(array_to_string(w[i + 1 : i + 50], ' ')))) AS s
+  FROM d WHERE len(w) >= 50),
+f AS (SELECT s, min(doc_id) AS owner FROM x GROUP BY s),
+r AS (SELECT x.doc_id, i FROM x JOIN f ON f.s = x.s AND owner < x.doc_id),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM r),
+t AS (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS word FROM d),
+k AS (
+  SELECT t.doc_id, count(g.p) AS gone, coalesce(string_agg(CASE WHEN g.p IS NULL THEN word END, ' ' ORDER BY t.p), '') AS kept
+  FROM t LEFT JOIN g ON g.doc_id = t.doc_id AND g.p = t.p GROUP BY t.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
+  CAST(len(w) - coalesce(gone, 0) AS BIGINT) AS n_kept, coalesce(kept, '') AS kept
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+ORACLE["op12_importance_resampling"] = f"""
+WITH RECURSIVE
+steps(i, n, c) AS (
+  SELECT CAST(i AS BIGINT), 0, CAST(i AS BIGINT) FROM range(256) t(i) UNION ALL SELECT i, n + 1, {_CRC_STEP} FROM steps WHERE n < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM steps WHERE n = 8),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, {_TERM}) AS w FROM documents),
+x AS (SELECT doc_id, unnest(w) AS word FROM d),
+y AS (SELECT unnest(regexp_extract_all({_LOWER.format("text")}, {_TERM})) AS word FROM benchmark),
+v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM x UNION SELECT word FROM y)),
+b AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+    lambda c, o: xor(c >> 8, t[(xor(c, o) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket FROM v, crc),
+s AS (SELECT bucket, count(*) AS n FROM x JOIN b USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM y JOIN b USING (word) GROUP BY bucket),
+g AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM x) + 10000)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM y) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (bucket)),
+m AS (SELECT doc_id, count(*) AS n, sum(gain) AS weight FROM x JOIN b USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+o AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN m ON m.doc_id = d.doc_id),
+r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM o WHERE n_features >= 20)
+SELECT o.*, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM o LEFT JOIN r ON r.doc_id = o.doc_id
+"""
+
+
+def _clusters_sql(clusters: int = 8, rounds: int = 10) -> str:
+    nearest = """SELECT v.vec_id, v.x, arg_min(c.c, [list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.c]) AS cluster,
+      CAST(min(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS BIGINT) AS distance
+    FROM v, c{0} c GROUP BY v.id, v.vec_id, v.x"""
+    steps = [f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h, x LIMIT {clusters}))"""]
+    for i in range(rounds):
+        steps.append(f"""a{i} AS MATERIALIZED ({nearest.format(i)}),
+m{i} AS (SELECT cluster, at_, CAST(floor(sum(y)::DOUBLE / count(*)) AS BIGINT) AS y
+  FROM (SELECT cluster, unnest(range(64)) AS at_, unnest(x) AS y FROM a{i}) GROUP BY cluster, at_),
+n{i} AS (SELECT cluster, list(y ORDER BY at_) AS x FROM m{i} GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(n.x, o.x) AS x FROM c{i} o LEFT JOIN n{i} n ON n.cluster = c)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+{", ".join(steps)},
+a AS MATERIALIZED ({nearest.format(rounds)})
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a JOIN c{rounds} c ON c.c = cluster
+"""
+
+
+ORACLE["op13_centroid_clustering"] = _clusters_sql()

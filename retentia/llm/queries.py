@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm import bpe, fingerprints, language, licenses, linededup, mixing, neardup, repeats, sharding, topk
+from retentia.llm import bpe, centroids, fingerprints, language, licenses, linededup, mixing, neardup, repeats, resampling, sharding, topk, wordwindows
 from retentia.llm.common import documents
 
 SHARDS = tuple(f"shard-{i:02d}" for i in range(64))
@@ -95,3 +95,26 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = repeats.remove_repeats(documents(spark, folder).select("doc_id", "text"))
     size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("bigint")
     return done.select("row.doc_id", size.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that a window of 50 words covers which stands in an earlier document, and what is left."""
+    done = wordwindows.remove_repeated_windows(documents(spark, folder).select("doc_id", "text"))
+    left = (F.col("n_words") - F.col("n_removed")).alias("n_kept")
+    return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), left, F.col("kept").cast("string").alias("kept"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark's texts, and the rank of those that are drawn."""
+    target = spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet")
+    done = resampling.resample(documents(spark, folder), target, keep=["doc_id"])
+    return done.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every embedding that counts, with its squared distance and its cluster's digest."""
+    done = centroids.cluster_vectors(spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet"))
+    return done.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
