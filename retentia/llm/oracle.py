@@ -164,32 +164,26 @@ SELECT e.doc_id, CAST(length(e.text) AS BIGINT) AS n_chars, sha256(e.edited) AS
 FROM e JOIN f0 a ON a.doc_id = e.doc_id JOIN f1 b ON b.doc_id = e.doc_id JOIN f0 c ON c.doc_id = e.next_id
 """.replace("r'[", "'[")
 
+# From the definition: of equal stretches of lines with two that are not blank, blanks at the ends of lines aside, all but the first go.
 ORACLE["op6_line_dedup"] = """
-WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS t, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-e AS (SELECT doc_id, t, unnest(range(len(l))) AS p, unnest(l) AS line, len(l) AS n FROM d),
-h AS (SELECT doc_id, t, p, n, CASE WHEN trim(line, ' ') = '' THEN 1152921504606846976 ELSE ('0x' || substr(md5(trim(line, ' ')), 1, 15))::BIGINT END AS h FROM e),
-x AS (SELECT *, lead(h) OVER (PARTITION BY doc_id, t ORDER BY p) AS b FROM h),
-s AS (SELECT DISTINCT doc_id, t, CASE WHEN b IS NULL OR h < b THEN p ELSE p + 1 END AS p FROM x WHERE b IS NOT NULL OR n = 1),
-f AS (SELECT s.doc_id, s.t, s.p, h.h FROM s JOIN h ON h.doc_id = s.doc_id AND h.t = s.t AND h.p = s.p WHERE h.h < 1152921504606846976),
-o AS (SELECT *, first_value(doc_id) OVER w AS od, first_value(t) OVER w AS ot, first_value(p) OVER w AS op FROM f WINDOW w AS (PARTITION BY h ORDER BY doc_id, t, p)),
-m AS (SELECT * FROM o WHERE (doc_id, t, p) <> (od, ot, op)),
-c AS (
-  SELECT m.doc_id, m.t, m.p, a.p - m.p AS off, a.h AS h, a.h = b.h AS same
-  FROM m JOIN h a ON a.doc_id = m.doc_id AND a.t = m.t AND a.p BETWEEN m.p - 4 AND m.p + 4
-  LEFT JOIN h b ON b.doc_id = m.od AND b.t = m.ot AND b.p = m.op + (a.p - m.p)),
-q AS (
-  SELECT doc_id, t, p, off, h,
-    bool_and(coalesce(same, false)) OVER (PARTITION BY doc_id, t, p, off > 0 ORDER BY abs(off)) AS ok FROM c),
-r AS (
-  SELECT doc_id, t, p, min(p + off) FILTER (ok) AS lo, max(p + off) FILTER (ok) AS hi, count(*) FILTER (ok AND h < 1152921504606846976) AS k
-  FROM q GROUP BY ALL HAVING k >= 2),
-g AS (SELECT DISTINCT doc_id, t, unnest(range(lo, hi + 1)) AS p FROM r),
+WITH d AS (
+  SELECT DISTINCT doc_id, md5(coalesce(text, '')) AS t, string_split(coalesce(text, ''), chr(10)) AS l,
+    list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ')) AS bare FROM documents),
+e AS (SELECT doc_id, t, len(l) AS n, unnest(range(len(l))) AS p, unnest(l) AS line, unnest(bare) AS bare FROM d),
+f AS (
+  SELECT doc_id, t, n, p, lag(p) OVER w AS prior, lead(p) OVER w AS q, lead(p, 2) OVER w AS after
+  FROM e WHERE bare <> '' WINDOW w AS (PARTITION BY doc_id, t ORDER BY p)),
+s AS (
+  SELECT doc_id, t, a, b FROM f, unnest(range(coalesce(prior, -1) + 1, p + 1)) x(a), unnest(range(q, coalesce(after, n))) y(b) WHERE q IS NOT NULL),
+r AS (SELECT s.*, array_to_string(bare[a + 1 : b + 1], chr(10)) AS body FROM s JOIN d USING (doc_id, t)),
+o AS (SELECT doc_id, t, a, b, row_number() OVER (PARTITION BY body ORDER BY doc_id, t, a) AS nth FROM r),
+g AS (SELECT DISTINCT doc_id, t, unnest(range(a, b + 1)) AS p FROM o WHERE nth > 1),
 k AS (
   SELECT e.doc_id, e.t, count(g.p) AS gone, string_agg(CASE WHEN g.p IS NULL THEN e.line END, chr(10) ORDER BY e.p) AS body
   FROM e LEFT JOIN g ON g.doc_id = e.doc_id AND g.t = e.t AND g.p = e.p GROUP BY e.doc_id, e.t)
-SELECT d.doc_id, CAST(CASE WHEN x.text IS NULL THEN 0 ELSE len(d.l) END AS BIGINT) AS n_lines, CAST(coalesce(k.gone, 0) AS BIGINT) AS n_removed,
+SELECT x.doc_id, CAST(CASE WHEN x.text IS NULL THEN 0 ELSE len(d.l) END AS BIGINT) AS n_lines, CAST(gone AS BIGINT) AS n_removed,
   sha256(coalesce(k.body, '')) AS kept_sha256
-FROM d JOIN documents x ON x.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id AND k.t = d.t
+FROM documents x JOIN d ON d.doc_id = x.doc_id AND d.t = md5(coalesce(x.text, '')) JOIN k ON k.doc_id = d.doc_id AND k.t = d.t
 """
 
 ORACLE["op9_suffix_dedup"] = """
@@ -206,7 +200,8 @@ k AS (
       substr(x, 2 * (CASE WHEN j = 0 THEN 0 ELSE spans[j].b END) + 1,
         2 * ((CASE WHEN j = n THEN len(x) // 2 ELSE spans[j + 1].a END) - (CASE WHEN j = 0 THEN 0 ELSE spans[j].b END)))), '') END AS kept
   FROM d LEFT JOIN p ON p.doc_id = d.doc_id)
-SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256 FROM k
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256,
+  CAST(len(x) // 2 - gone AS BIGINT) AS n_kept, try(decode(unhex(kept))) AS kept FROM k
 """
 
 ORACLE["op11_substring_dedup"] = r"""

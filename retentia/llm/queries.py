@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +57,8 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of every document's token ids and of what they decode to."""
+    import public_tokenizers  # no other query needs the vocabulary files
+
     content = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
     docs = documents(spark, folder).select("doc_id", "text")
     done = bpe.decode(bpe.encode(docs, content, keep=["doc_id"]), content)
@@ -91,10 +92,12 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes of every document that belong to a repeated string of 400 bytes, and what is left."""
+    """Bytes of every document that belong to a repeated string of 400 bytes, and what is left: ``kept`` is its text, null where it is none."""
     done = repeats.remove_repeats(documents(spark, folder).select("doc_id", "text"))
     size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("bigint")
-    return done.select("row.doc_id", size.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    left, text = (size - F.col("n_removed")).alias("n_kept"), F.col("kept").cast("string")
+    text = F.when(F.is_valid_utf8(text), text).alias("kept")  # a cut may part the bytes of a character
+    return done.select("row.doc_id", size.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left, text)
 
 
 @query
