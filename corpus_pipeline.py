@@ -6,7 +6,6 @@ stage's ``docs``. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +56,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids and what the ids decode to."""
+    import public_tokenizers  # only this stage needs the vocabulary files
+
     content = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
     encoded = bpe.encode(docs, content, keep=["doc_id", "lang", "source"])
     return bpe.decode(encoded, content).select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids", "decoded")

@@ -118,6 +118,26 @@ def running_sums(
     )
 
 
+def holding(points: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, width: str, payload: Sequence[str]) -> DataFrame:
+    """``points`` with the ``payload`` of the span that holds them.
+
+    Spans of a group (``keys``) are (``below``, ``n``, payload): they lie side by side from 0 on and hold n places each. Both
+    sides have a column ``width`` that cuts a group's places into blocks. A span stands once in every block it reaches, and
+    within a block a point takes the last span that starts before it. So a span of any size is spread over its blocks, and
+    neither side compares pairs.
+    """
+    payload_kind = spans.select(F.struct(*payload).alias("s")).schema["s"].dataType
+    asked = points.withColumn("_point", F.struct(*points.columns))
+    point_kind = asked.schema["_point"].dataType
+    asked = asked.select(*keys, F.expr(f"{at} div {width}").alias("_block"), F.col(at).cast("bigint").alias("_at"), F.lit(None).cast(payload_kind).alias("_span"), "_point")
+    reached = F.explode(F.sequence(F.expr(f"below div {width}"), F.expr(f"(below + n - 1) div {width}")))
+    starts = spans.select(*keys, reached.alias("_block"), F.col("below").alias("_at"), F.struct(*payload).alias("_span"), F.lit(None).cast(point_kind).alias("_point"))
+    both = starts.unionByName(asked)
+    in_block = Window.partitionBy(*keys, "_block").orderBy("_at", F.col("_point").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_span", F.last("_span", ignorenulls=True).over(in_block)).where(F.col("_point").isNotNull())
+    return found.select("_point.*", *[F.col(f"_span.{p}") for p in payload])
+
+
 def exact_quantiles(
     counts: DataFrame,
     keys: Sequence[str],

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from pyspark.sql.types import DoubleType
 
 def kolmogorov_tail(statistic: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample Kolmogorov-Smirnov p-value: 2 * sum (-1)^(k-1) exp(-2 k^2 t^2)."""
-    t = statistic * F.sqrt(n1 * n2 / (n1 + n2))
+    a, b = n1.cast("double"), n2.cast("double")  # the product of two counts exceeds a long
+    t = statistic * F.sqrt(a * b / (a + b))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
         F.lit(0.0),
@@ -62,3 +64,36 @@ def chi_square_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
 @F.pandas_udf(DoubleType())
 def two_sided_normal_tail(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)) if v == v else float("nan")).astype("float64")
+
+
+def _kolmogorov_exact(statistic: float, n1: int, n2: int) -> float:
+    """P(D >= statistic) for two samples without ties, over all orders in which their values can stand.
+
+    An order is a lattice path from (0, 0) to (n1, n2), and D reaches the statistic where the path comes as far from the
+    diagonal. The probability of having been there is carried along i + j: a path comes to (i, j) by its last step
+    from (i - 1, j) or (i, j - 1), in proportion to i and j. Only points near the diagonal are computed; all others count as 1.
+    """
+    if math.isnan(statistic) or n1 < 1 or n2 < 1:
+        return float("nan")
+    a, b = sorted((int(n1), int(n2)))
+    reach, total = round(statistic * a * b), a + b
+    if reach <= 0:
+        return 1.0
+    touched = np.ones(a + 1)
+    touched[0] = 0.0
+    for s in range(1, total + 1):
+        low, high = max((s * a - reach) // total + 1, 0, s - b), min(-((-s * a - reach) // total) - 1, s, a)
+        if high < low:
+            return 1.0
+        i = np.arange(low, high + 1)
+        before = np.where(i > 0, touched[i - 1], 0.0)
+        touched[low : high + 1] = (i * before + (s - i) * touched[low : high + 1]) / s
+        touched[:low] = 1.0
+        touched[high + 1 :] = 1.0
+    return float(touched[a])
+
+
+@F.pandas_udf(DoubleType())
+def kolmogorov_exact(statistic: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    known = statistic.notna() & n1.notna() & n2.notna()
+    return pd.Series([_kolmogorov_exact(d, a, b) if k else float("nan") for d, a, b, k in zip(statistic, n1, n2, known)], dtype="float64")

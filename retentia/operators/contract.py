@@ -64,10 +64,14 @@ def with_request_names(df: DataFrame, contract: Contract) -> DataFrame:
     return df.withColumnsRenamed({n: request_name(n) for n in contract.names if n in df.columns})
 
 
+def column_differences(df: DataFrame, contract: Contract) -> tuple[list[str], list[str]]:
+    """(columns that are missing, columns that the contract does not have), in order. Runs no job."""
+    return [n for n in contract.names if n not in df.columns], [c for c in df.columns if c not in contract.names]
+
+
 def check_columns(df: DataFrame, contract: Contract) -> None:
     """The column set is closed: a missing or an extra column is an error. Runs no job."""
-    missing = [n for n in contract.names if n not in df.columns]
-    extra = [c for c in df.columns if c not in contract.names]
+    missing, extra = column_differences(df, contract)
     if missing or extra:
         raise ContractViolation(f"missing columns {missing}, unexpected columns {extra}")
 
@@ -76,9 +80,13 @@ def _typed(field: Field) -> Column:
     raw = F.col(f"`{field.name}`")
     if field.type != "bigint":
         return raw.try_cast(field.type)
-    # A whole number may be written with a zero fraction, as a column that once held gaps is.
-    number = raw.try_cast("decimal(38,9)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    # A whole number may be written with a zero fraction, as a column that once held gaps is, or with an exponent. The text's own
+    # digits decide: a cast would round a fraction away. Most values pass the plain cast and go no further.
+    text = raw.cast("string")
+    zero_fraction = F.when(text.rlike(r"^\s*[+-]?\d+\.0*\s*$"), F.regexp_replace(text, r"\.0*\s*$", "").try_cast("bigint"))
+    number = text.try_cast("decimal(38,18)")
+    exponent = F.when(text.rlike("[eE]") & (number == F.floor(number)), number.try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), zero_fraction, exponent)
 
 
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentia.operators.metrics import OVERALL
@@ -41,27 +41,44 @@ def segment_regressions(champion: DataFrame, challenger: DataFrame, rule: Promot
     return deltas.where(F.col("delta") < -rule.segment_tolerance)
 
 
+def model_deltas(evaluated: DataFrame, champion: str, challenger: str, metric: str = "f1") -> DataFrame:
+    """``segment_deltas`` from one ``evaluate_models`` frame, without a join."""
+
+    def of(model: str) -> Column:
+        return F.max(F.when(F.col("model") == model, F.col(metric)))
+
+    pairs = evaluated.groupBy("segment_column", "segment_value").agg(of(champion).alias("champion_value"), of(challenger).alias("challenger_value"))
+    return pairs.dropna().withColumn("delta", F.col("challenger_value") - F.col("champion_value"))
+
+
 def promotion_decision(champion: DataFrame, challenger: DataFrame, rule: PromotionRule = PromotionRule()) -> DataFrame:
-    """One row (promote, reason, aggregate_margin, regressions) from two ``evaluate`` frames.
+    """One row (promote, reason, aggregate_margin, regressions, regression_deltas) from two ``evaluate`` frames.
 
-    The margin on the whole table is tested first (inclusive); regressions are listed only if it holds.
+    The margin on the whole table is tested first (inclusive); regressions are listed only if it holds. ``regression_deltas`` maps
+    each regressed segment to its delta.
     """
-    deltas = segment_deltas(champion, challenger, rule.metric)
+    return decided(segment_deltas(champion, challenger, rule.metric), rule)
+
+
+def decided(deltas: DataFrame, rule: PromotionRule = PromotionRule()) -> DataFrame:
+    """The same from (segment_column, segment_value, delta), one row per segment."""
     is_overall = F.col("segment_column") == OVERALL
     regressed = ~is_overall & (F.col("delta") < -rule.segment_tolerance)
-    name = F.concat_ws("=", "segment_column", "segment_value")
+    entry = F.struct(F.concat_ws("=", "segment_column", "segment_value").alias("segment"), F.col("delta"))
     one = deltas.agg(
         F.max(F.when(is_overall, F.col("delta"))).alias("aggregate_margin"),
-        # Holds at most one name per segment of the evaluated, low-cardinality columns.
-        F.array_sort(F.collect_list(F.when(regressed, name))).alias("_regressed"),
+        # Holds at most one entry per segment of the evaluated, low-cardinality columns.
+        F.array_sort(F.collect_list(F.when(regressed, entry))).alias("_regressed"),
     )
     wins = F.coalesce(F.col("aggregate_margin") >= rule.margin, F.lit(False))
     clean = F.size("_regressed") == 0
+    listed = F.when(wins, F.col("_regressed")).otherwise(F.slice("_regressed", 1, 0))
     return one.select(
         (wins & clean).alias("promote"),
         F.when(~wins, "margin not reached").when(~clean, "segment regression").otherwise("wins").alias("reason"),
         "aggregate_margin",
-        F.when(wins, F.col("_regressed")).otherwise(F.array().cast("array<string>")).alias("regressions"),
+        F.transform(listed, lambda e: e["segment"]).alias("regressions"),
+        F.map_from_entries(listed).alias("regression_deltas"),
     )
 
 

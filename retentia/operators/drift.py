@@ -8,8 +8,9 @@ The test of a column is declared in the rule, by kind or by column, and never fo
 values were seen:
 
 * ``wasserstein`` (numeric columns; over the reference's standard deviation) and ``jensen_shannon``: drifted when >= 0.1;
-* ``ks`` (two-sample Kolmogorov-Smirnov, numeric columns), ``chi_square`` and ``z_test`` (two-sided, two proportions):
-  p-values, drifted when < 0.05.
+* ``ks`` (two-sample Kolmogorov-Smirnov, numeric columns, asymptotic), ``ks_exact`` (the same without approximation, for small
+  samples: its cost grows with the rows of both sides times the root of their number), ``chi_square`` and ``z_test``
+  (two-sided, two proportions): p-values, drifted when < 0.05.
 
 A test of levels on a numeric column takes its values as levels. ``z_test`` is for columns of two levels: more than two on
 both sides together give the p-value 0. A test without a defined score has a null score and counts as drifted.
@@ -29,15 +30,15 @@ from pyspark.sql import functions as F
 
 from retentia.functions.ordered import running_sums
 from retentia.functions.scalars import lookup
-from retentia.functions.stats import chi_square_tail, kolmogorov_tail, two_sided_normal_tail
+from retentia.functions.stats import chi_square_tail, kolmogorov_exact, kolmogorov_tail, two_sided_normal_tail
 from retentia.operators.features import column_types
 from retentia.session import written
 
 REFERENCE = "ref"
 NO_VALUES = "no_values"
 LEVEL_TESTS = ("jensen_shannon", "chi_square", "z_test")
-NUMERIC_TESTS = ("wasserstein", "ks", *LEVEL_TESTS)
-P_VALUES = ("ks", "chi_square", "z_test")
+NUMERIC_TESTS = ("wasserstein", "ks", "ks_exact", *LEVEL_TESTS)
+P_VALUES = ("ks", "ks_exact", "chi_square", "z_test")
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,7 @@ class DriftRule:
         return name
 
 
-def _long(df: DataFrame, numeric: Sequence[str], text: Sequence[str], frame: Column) -> DataFrame:
+def long_values(df: DataFrame, numeric: Sequence[str], text: Sequence[str], frame: Column) -> DataFrame:
     """(frame, column, num, txt) with one row per non-missing value; NaN counts as missing."""
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     entries = [
@@ -80,7 +81,7 @@ def value_counts(
     ``frame`` tells which batch a row of ``batches`` belongs to; ``names`` maps column aliases to them.
     Counting happens per task before anything is shuffled.
     """
-    rows = _long(reference, numeric, text, F.lit(REFERENCE)).unionByName(_long(batches, numeric, text, frame))
+    rows = long_values(reference, numeric, text, F.lit(REFERENCE)).unionByName(long_values(batches, numeric, text, frame))
     frames = {REFERENCE: REFERENCE, **names}
     return rows.groupBy("column", "num", "txt").agg(
         *[F.count(F.when(F.col("frame") == name, 1)).alias(f"n_{alias}") for alias, name in frames.items()]
@@ -202,6 +203,7 @@ def choose_tests(stats: DataFrame, spread: DataFrame, tests: Mapping[str, str],
 
     scores = {
         "ks": lambda: kolmogorov_tail(F.col("ks"), F.col("n_ref"), F.col("n_cur")),
+        "ks_exact": lambda: kolmogorov_exact(only("ks_exact", F.col("ks")), F.col("n_ref"), F.col("n_cur")),
         "chi_square": lambda: chi_square_tail(only("chi_square", F.col("chi2")), only("chi_square", F.col("n_levels") - 1)),
         "z_test": lambda: F.when(F.col("n_levels") > 2, 0.0).otherwise(two_sided_normal_tail(only("z_test", F.col("z")))),
         "wasserstein": lambda: F.col("wasserstein") / F.greatest(F.col("std"), F.lit(rule.min_std)),

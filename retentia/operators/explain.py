@@ -19,6 +19,8 @@ from retentia.operators.preprocess import FEATURES, encoded_features
 from retentia.session import scratch_path
 
 TOP = 15
+TABLE_FEATURES = 8  # of a leaf's path: a table of 2**8 patterns
+BLOCK_ROWS = 4096  # rows whose node conditions are held at once
 
 
 def linear_contributions(df: DataFrame, weights: Mapping[str, float], means: Mapping[str, Column | float]) -> Column:
@@ -124,42 +126,103 @@ def leaf_paths(nodes: pd.DataFrame, weights: Mapping[int, float], scale: float =
     return leaves
 
 
-def _passes(x: np.ndarray, conditions: Sequence) -> np.ndarray:
-    ok = np.ones(len(x), dtype=bool)
-    for goes_left, left, categories in conditions:
-        in_left = x <= left[0] if categories < 0 else np.isin(x, left)
-        ok &= in_left if goes_left else ~in_left
-    return ok
+def _in_left(x: np.ndarray, feature: int, left: tuple, categories: int) -> np.ndarray:
+    """Whether a node sends each row to its left child."""
+    return x[:, feature] <= left[0] if categories < 0 else np.isin(x[:, feature], left)
 
 
-def tree_contributions(x: np.ndarray, leaves: Sequence) -> np.ndarray:
-    """Shapley values of a tree ensemble for a block of rows.
+def _leaf_game(value: float, shares: Sequence[float], hits: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """Shapley values of one leaf, an array per feature of its path.
 
-    A leaf's game has value v * prod(o_j for known j) * prod(z_j for the others), with o_j = the row
-    meets the leaf's conditions on feature j and z_j = the share of training rows that do. Feature i then
-    gets v * (o_i - z_i) times the weighted coefficients of prod(z_j + o_j t) over the other features.
+    The game's value is v * prod(o_j for known j) * prod(z_j for the others), with o_j = the row meets the leaf's
+    conditions on feature j and z_j = the share of training rows that do. Feature i gets v * (o_i - z_i) times the weighted
+    coefficients of prod(z_j + o_j t) over the other features.
     """
-    out = np.zeros(x.shape)
-    for value, path in leaves:
-        m = len(path)
-        if m == 0:
-            continue
-        hits = [_passes(x[:, f], conditions).astype(float) for f, _, conditions in path]
-        size_weight = [math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)]
-        for i, (feature, z_i, _) in enumerate(path):
-            coefficients = [np.ones(len(x))]
-            for j, (_, z_j, _) in enumerate(path):
-                if j == i:
-                    continue
-                grown = [z_j * c for c in coefficients] + [np.zeros(len(x))]
-                for k, c in enumerate(coefficients):
-                    grown[k + 1] = grown[k + 1] + hits[j] * c
-                coefficients = grown
-            total = sum(w * c for w, c in zip(size_weight, coefficients))
-            out[:, feature] += value * (hits[i] - z_i) * total
+    m = len(shares)
+    size_weight = [math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)]
+    out = []
+    for i in range(m):
+        coefficients = [np.ones(len(hits[0]))]
+        for j in range(m):
+            if j == i:
+                continue
+            grown = [shares[j] * c for c in coefficients] + [np.zeros(len(hits[0]))]
+            for k, c in enumerate(coefficients):
+                grown[k + 1] = grown[k + 1] + hits[j] * c
+            coefficients = grown
+        out.append(value * (hits[i] - shares[i]) * sum(w * c for w, c in zip(size_weight, coefficients)))
     return out
 
 
+class LeafTables:
+    """The leaves of a tree ensemble, with their Shapley values by the pattern of met conditions.
+
+    A row meets a leaf's conditions on m features in one of 2**m patterns, and the pattern alone decides what the leaf gives
+    to each feature. So each leaf has a table of m values per pattern, built once, and a block of rows needs one
+    pattern per leaf and a look-up. Leaves of more than ``TABLE_FEATURES`` features have no table and are computed row by row.
+    """
+
+    def __init__(self, leaves: Sequence[tuple[float, list]]) -> None:
+        self.nodes: list[tuple[int, tuple, int]] = []
+        place: dict[tuple, int] = {}
+        self.leaves = []
+        for value, path in leaves:
+            if not path:
+                continue
+            conditions = []
+            for feature, _, own in path:
+                met = []
+                for goes_left, left, categories in own:
+                    node = (feature, tuple(left.tolist()), categories)
+                    if node not in place:
+                        place[node] = len(self.nodes)
+                        self.nodes.append(node)
+                    met.append((place[node], goes_left))
+                conditions.append(met)
+            shares = [z for _, z, _ in path]
+            self.leaves.append((value, [f for f, _, _ in path], shares, conditions, self._table(value, shares)))
+
+    @staticmethod
+    def _table(value: float, shares: list[float]) -> np.ndarray | None:
+        m = len(shares)
+        if m > TABLE_FEATURES:
+            return None
+        patterns = np.arange(1 << m)
+        return np.stack(_leaf_game(value, shares, [((patterns >> j) & 1).astype(float) for j in range(m)]))
+
+    def contributions(self, x: np.ndarray) -> np.ndarray:
+        """Shapley values for a block of rows, one column per feature."""
+        parts = [self._block(x[a : a + BLOCK_ROWS]) for a in range(0, len(x), BLOCK_ROWS)]
+        return np.concatenate(parts) if parts else np.zeros(x.shape)
+
+    def _block(self, x: np.ndarray) -> np.ndarray:
+        lefts = [_in_left(x, *node) for node in self.nodes]
+        out = np.zeros(x.shape[::-1])
+        for value, features, shares, conditions, table in self.leaves:
+            hits = []
+            for met in conditions:
+                hit = None
+                for node, goes_left in met:
+                    one = lefts[node] if goes_left else ~lefts[node]
+                    hit = one if hit is None else hit & one
+                hits.append(hit)
+            if table is None:
+                values = _leaf_game(value, shares, [h.astype(float) for h in hits])
+            else:
+                pattern = np.zeros(len(x), np.int64)
+                for j, hit in enumerate(hits):
+                    pattern |= hit.astype(np.int64) << j
+                values = table[:, pattern]
+            for feature, added in zip(features, values):
+                out[feature] += added
+        return out.T
+
+
+def tree_contributions(x: np.ndarray, leaves: Sequence[tuple[float, list]]) -> np.ndarray:
+    """Shapley values of a tree ensemble for a block of rows, one column per feature."""
+    return LeafTables(leaves).contributions(x)
+
+
 def with_tree_explanation(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``contributions`` and ``base_value`` for a pipeline that ends in boosted trees, in log-odds.
 
@@ -168,10 +231,10 @@ def with_tree_explanation(model: PipelineModel, df: DataFrame) -> DataFrame:
     encoder, learner = model.stages[-2], model.stages[-1]
     leaves = leaf_paths(*tree_nodes(df.sparkSession, learner))
     base = float(sum(v * math.prod(z for _, z, _ in path) for v, path in leaves))
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
+    shared = df.sparkSession.sparkContext.broadcast(LeafTables(leaves))
 
     def explain(x: pd.Series) -> pd.Series:
-        return pd.Series(list(tree_contributions(np.stack(x.to_numpy()), shared.value)) if len(x) else [])
+        return pd.Series(list(shared.value.contributions(np.stack(x.to_numpy()))) if len(x) else [])
 
     values = F.pandas_udf(explain, ArrayType(DoubleType()))(vector_to_array(FEATURES))
     names = F.array(*[F.lit(n) for n, _, _ in encoded_features(encoder)])

@@ -89,12 +89,13 @@ def onehot_columns(df: DataFrame, high_cardinality: Sequence[str] = ("City",), s
 
 
 def wide_text_columns(df: DataFrame, max_levels: int = 100) -> list[str]:
-    """Text columns with more levels than one-hot encoding should take (approximate counts, one pass)."""
+    """Text columns with more levels than one-hot encoding should take, nulls excluded; the counts are exact."""
     _, text = column_types(df)
-    if not text:
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in text]
+    if not entries:
         return []
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first().asDict()
-    return [c for c in text if counts[c] > max_levels]
+    levels = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").dropna().distinct()
+    return [r["column"] for r in levels.groupBy("column").agg(F.count("*").alias("n")).where(F.col("n") > max_levels).orderBy("column").collect()]
 
 
 def fill_text(df: DataFrame, columns: Sequence[str], placeholder: str = "Missing") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,6 +98,31 @@ def segment_metrics(
     return frame
 
 
+def evaluate_models(
+    scored: DataFrame, segment_columns: Sequence[str], models: Mapping[str, tuple[str, str]], label: str = "churn", *, include_null: bool = False
+) -> DataFrame:
+    """``evaluate`` for several models that scored the same rows, in one pass; ``model`` names them.
+
+    ``models`` has each model's prediction and score column.
+    """
+    entries = [
+        F.struct(F.lit(m).alias("model"), F.col(p).cast("bigint").alias("_prediction"), F.col(s).cast("double").alias("_score_of"))
+        for m, (p, s) in models.items()
+    ]
+    each = scored.select(label, *segment_columns, F.explode(F.array(*entries)).alias("_m")).select(label, *segment_columns, "_m.*")
+    rows = _segment_rows(each, segment_columns, True, include_null)
+    frame = classification_metrics(rows, label, "_prediction", "_score_of", ["model", "segment_column", "segment_value"])
+    return _with_two_classes(frame)
+
+
+def _with_two_classes(frame: DataFrame) -> DataFrame:
+    """Without segments of one class; the overall row stays."""
+    two_classes = (F.col("n_pos") > 0) & (F.col("n_pos") < F.col("n"))
+    return frame.where(two_classes | (F.col("segment_column") == OVERALL)).withColumn(
+        "segment", segment_label(F.col("segment_column"), F.col("segment_value"))
+    )
+
+
 def evaluate(
     scored: DataFrame,
     segment_columns: Sequence[str],
@@ -112,7 +137,4 @@ def evaluate(
     needed = scored.select(label, prediction, score, *segment_columns)
     rows = _segment_rows(needed, segment_columns, with_overall, include_null)
     frame = classification_metrics(rows, label, prediction, score, ["segment_column", "segment_value"])
-    two_classes = (F.col("n_pos") > 0) & (F.col("n_pos") < F.col("n"))
-    return frame.where(two_classes | (F.col("segment_column") == OVERALL)).withColumn(
-        "segment", segment_label(F.col("segment_column"), F.col("segment_value"))
-    )
+    return _with_two_classes(frame)

@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retentia.operators.encoding import for_scoring
 from retentia.operators.features import column_types, onehot_columns
 from retentia.operators.metrics import METRICS, classification_metrics
 from retentia.operators.preprocess import FEATURES, WEIGHT, ClassWeigher, TableEncoder, helper_columns
@@ -54,7 +55,7 @@ def tree_params(params: Mapping[str, object]) -> dict[str, object]:
 def _boosted(df: DataFrame, label: str, skip: Sequence[str], wide: Sequence[str], params, seed: int, mode: str) -> Pipeline:
     numeric, text = onehot_columns(df, wide, [label, *skip])
     learner = GBTClassifier(featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, seed=seed, **tree_params(params))
-    return Pipeline(stages=[ClassWeigher(labelCol=label, mode=mode), TableEncoder(numericCols=numeric, textCols=text), learner])
+    return Pipeline(stages=[ClassWeigher(labelCol=label, mode=mode), TableEncoder(numericCols=numeric, textCols=text, labelCol=label), learner])
 
 
 def _logistic(df: DataFrame, label: str, skip: Sequence[str], wide: Sequence[str], params, seed: int) -> Pipeline:
@@ -69,14 +70,17 @@ def _logistic(df: DataFrame, label: str, skip: Sequence[str], wide: Sequence[str
         regParam=1.0 / (float(params.get("C", 1.0)) * max(n, 1)),
         standardization=False,
     )
-    return Pipeline(stages=[ClassWeigher(labelCol=label), TableEncoder(numericCols=numeric, textCols=text, scale=True), learner])
+    return Pipeline(stages=[ClassWeigher(labelCol=label), TableEncoder(numericCols=numeric, textCols=text, scale=True, labelCol=label), learner])
 
 
-def _native(df: DataFrame, label: str, skip: Sequence[str], params, seed: int, max_levels: int = 2000) -> Pipeline:
-    """Text columns, wide ones included, as nominal features without one-hot."""
+def _native(df: DataFrame, label: str, skip: Sequence[str], params, seed: int, max_levels: int = 254) -> Pipeline:
+    """Text columns, wide ones included, without one-hot: nominal features, or target codes beyond ``max_levels`` levels.
+
+    The bins hold every level of a nominal feature and one for unseen ones, and bound the learner's memory per column.
+    """
     numeric, text = column_types(df, [label, *skip])
     learner = GBTClassifier(featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, seed=seed, maxBins=max_levels + 2, **tree_params(params))
-    encoder = TableEncoder(numericCols=numeric, textCols=text, oneHot=False, maxLevels=max_levels)
+    encoder = TableEncoder(numericCols=numeric, textCols=text, oneHot=False, maxLevels=max_levels, labelCol=label)
     return Pipeline(stages=[ClassWeigher(labelCol=label), encoder, learner])
 
 
@@ -104,9 +108,9 @@ def family_pipeline(
 
 
 def without_training_stages(model: PipelineModel) -> PipelineModel:
-    """The part that scores: the weight stage reads the label, which scoring data lacks."""
+    """The part that scores: the weight stage reads the label, which scoring data lacks, and codes leave no fold out."""
     keep = [s for s in model.stages if not (isinstance(s, SQLTransformer) and f"AS `{WEIGHT}`" in s.getStatement())]
-    return PipelineModel(stages=keep)
+    return PipelineModel(stages=[PipelineModel(stages=[for_scoring(t) for t in s.stages]) if isinstance(s, PipelineModel) else for_scoring(s) for s in keep])
 
 
 def fit_family(family: str, train: DataFrame, label: str, params=None, **options) -> PipelineModel:

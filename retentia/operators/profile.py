@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retentia.functions.ordered import exact_quantiles
+from retentia.functions.quantiles import clean, selected_quantiles
 from retentia.functions.scalars import missing, yes_flag
 
 
@@ -67,37 +67,26 @@ def duplicate_key_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"))
 
 
-def numeric_value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, value, n) over the non-missing values of the numeric columns."""
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    rows = df.select(*by, F.explode(F.array(*entries)).alias("e")).select(*by, "e.column", "e.value")
-    rows = rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    for key in by:
-        rows = rows.where(F.col(key).isNotNull())
-    return rows.groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
-
-
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max): sample deviation, exact interpolated quartiles."""
-    clean = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    values = {c: clean(c) for c in columns}
     row = df.agg(
         *[
             F.struct(
                 F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")
             ).alias(c)
-            for c, v in clean.items()
+            for c, v in values.items()
         ]
     )
     moments = _long_row(row, columns, lambda c: [F.col(f"{c}.{m}").alias(m) for m in ("count", "mean", "std", "min", "max")])
-    counts = numeric_value_counts(df, columns)
-    quartiles = exact_quantiles(counts, ["column"], "value", "n", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, bounded_keys=True)
+    quartiles = selected_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     # One row per described column on both sides.
     return moments.join(F.broadcast(quartiles), "column", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def medians_by(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
     """(by, column, median), exact."""
-    return exact_quantiles(numeric_value_counts(df, columns, [by]), [by, "column"], "value", "n", {"median": 0.5})
+    return selected_quantiles(df, columns, {"median": 0.5}, [by])
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30, by: Sequence[str] = ()) -> DataFrame:

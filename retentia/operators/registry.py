@@ -1,14 +1,18 @@
 """Model versions, aliases and runs as append-only tables; the latest row wins.
 
-One writer at a time is assumed: two concurrent registrations could take the same version number, which
-only a table format with commits can prevent.
+Several writers may work at once. A writer claims a number by creating a file that must not exist yet: of two that try the same
+number one succeeds and the other takes the next. Each row is a commit of its own, a folder that no other writer
+touches. A writer that dies between claim and commit leaves a number without a row, never a number with two.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from pathlib import Path
+from urllib.parse import quote, urlparse
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +43,7 @@ class Registry:
 
     def _table(self, name: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.folder}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -48,7 +52,34 @@ class Registry:
     def _append(self, name: str, rows: list[tuple], schema: str, stamp: str) -> None:
         columns = [c for c in schema.split(", ") if not c.startswith(f"{stamp} ")]
         df = self.spark.createDataFrame(rows, ", ".join(columns)).withColumn(stamp, F.current_timestamp())
-        df.coalesce(1).write.mode("append").parquet(f"{self.folder}/{name}")
+        df.coalesce(1).write.parquet(f"{self.folder}/{name}/{uuid.uuid4().hex}")
+
+    def _claim(self, kind: str, name: str, number: int) -> int:
+        """The first number from ``number`` on that no writer has claimed, claimed."""
+        while not self._create(f"{self.folder}/claims/{kind}/{quote(name, safe='')}/{number}"):
+            number += 1
+        return number
+
+    def _create(self, path: str) -> bool:
+        """Create an empty file; False if it is there already. The file system decides between writers."""
+        parts = urlparse(path)
+        if parts.scheme in ("", "file"):
+            file = Path(parts.path)
+            file.parent.mkdir(parents=True, exist_ok=True)
+            try:
+                file.touch(exist_ok=False)
+            except FileExistsError:
+                return False
+            return True
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            files.create(at, False).close()
+        except Py4JJavaError:
+            if not files.exists(at):
+                raise
+            return False
+        return True
 
     def versions(self) -> DataFrame:
         return self._table("versions", VERSIONS_SCHEMA)
@@ -60,7 +91,7 @@ class Registry:
         return self._table("runs", RUNS_SCHEMA)
 
     def register(self, model: str, run_id: str, path: str) -> int:
-        version = (self.latest(model) or 0) + 1
+        version = self._claim("versions", model, (self.latest(model) or 0) + 1)
         self._append("versions", [(model, version, run_id, path)], VERSIONS_SCHEMA, "created_at")
         return version
 
@@ -81,7 +112,8 @@ class Registry:
 
     def promote(self, model: str, version: int, alias: str = CHAMPION) -> None:
         last = self.aliases().where((F.col("model_name") == model) & (F.col("alias") == alias)).agg(F.max("step")).first()[0]
-        self._append("aliases", [(model, alias, version, (last or 0) + 1)], ALIASES_SCHEMA, "moved_at")
+        step = self._claim("aliases", f"{model}/{alias}", (last or 0) + 1)
+        self._append("aliases", [(model, alias, version, step)], ALIASES_SCHEMA, "moved_at")
 
     def log_run(self, experiment: str, run_name: str, params: Mapping[str, object], metrics: Mapping[str, float | None]) -> str:
         run_id = uuid.uuid4().hex

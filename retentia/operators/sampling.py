@@ -14,9 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retentia.functions.hashing import hash_bucket, hash_key, uniform
+from retentia.functions.ordered import holding, running_sums, with_range
 from retentia.functions.scalars import batch_name, lower_clip
+from retentia.session import written
 
 DEFAULT_SLICES = 4096
+BOOTSTRAP_SLICES = 1 << 14
+MOST_BLOCKS = 1 << 20  # of a reweight's intervals
 
 
 def _stratum(label: str) -> Column:
@@ -27,32 +31,40 @@ def _stratum(label: str) -> Column:
 def _rank_cuts(keyed: DataFrame, stratum: str, targets: DataFrame, slices: int) -> DataFrame:
     """The (h, id) at each wanted 1-based rank within its stratum.
 
-    ``keyed`` has (stratum, h, id); ``targets`` has (stratum, cut, target_rank). Both the slice counts
-    (``slices`` rows per class) and the result (one row per class and cut) are small.
+    ``keyed`` has (stratum, h, id); ``targets`` has (stratum, cut, target_rank). The slice counts have ``slices`` rows per class, the
+    result one row per class and cut. Both are stored, so the joins with them are planned by their real size.
     """
     sliced = keyed.withColumn("slice", hash_bucket("h", slices))
     counts = sliced.groupBy(stratum, "slice").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy(stratum).orderBy("slice"))
     offsets = counts.select(stratum, "slice", (upto - F.col("n")).alias("below"), upto.alias("upto"))
     hit = (F.col("below") < F.col("target_rank")) & (F.col("target_rank") <= F.col("upto"))
-    wanted = offsets.join(F.broadcast(targets), stratum).where(hit)
-    wanted = wanted.select(stratum, "slice", "cut", (F.col("target_rank") - F.col("below")).alias("rank"))
+    wanted = offsets.join(targets, stratum).where(hit)
+    wanted = written(wanted.select(stratum, "slice", "cut", (F.col("target_rank") - F.col("below")).alias("rank")), "wanted-ranks")
     in_slice = Window.partitionBy(stratum, "slice").orderBy("h", "id")
-    # Only the slices with a cut get past this broadcast join and into the window.
-    inside = sliced.join(F.broadcast(wanted.select(stratum, "slice").distinct()), [stratum, "slice"])
+    # Only the slices with a cut get past this join and into the window.
+    inside = sliced.join(wanted.select(stratum, "slice").distinct(), [stratum, "slice"])
     ranked = inside.withColumn("rank", F.row_number().over(in_slice).cast("bigint"))
-    return ranked.join(F.broadcast(wanted), [stratum, "slice", "rank"]).select(stratum, "cut", "h", "id")
+    return written(ranked.join(wanted, [stratum, "slice", "rank"]).select(stratum, "cut", "h", "id"), "cuts")
 
 
 def train_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
     """(label, n, n_train): the test side has ceil(test_size * N) rows, classes by largest remainder."""
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    return quotas_of(df.groupBy(label).agg(F.count("*").alias("n")), label, test_size)
+
+
+def quotas_of(counts: DataFrame, label: str, test_size: float) -> DataFrame:
+    """The same from (label, n), one row per class."""
     # The windows below run over one row per class.
     everything = Window.partitionBy(F.lit(0))
     total = F.sum("n").over(everything)
     n_train = (total - F.ceil(total * F.lit(test_size))).cast("bigint")
-    share = F.col("n") * n_train / total
-    base = counts.select(label, "n", n_train.alias("want"), F.floor(share).alias("floor"), (share - F.floor(share)).alias("rest"))
+    # The product of two counts exceeds a long; as a decimal it is exact, and so are quotient and rest.
+    product = F.col("n").cast("decimal(19,0)") * n_train.cast("decimal(19,0)")
+    whole = total.cast("decimal(19,0)")
+    base = counts.select(label, "n", n_train.alias("want"), product.alias("product"), whole.alias("whole")).select(
+        label, "n", "want", F.expr("product div whole").alias("floor"), F.expr("product % whole").alias("rest")
+    )
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("rest"), label)
     spare = F.col("want") - F.sum("floor").over(everything)
     return base.withColumns({"spare": spare, "place": F.row_number().over(order)}).select(
@@ -72,7 +84,7 @@ def stratified_split(
     """Add a 0/1 ``is_test`` column: exact total size, class shares kept. ``key`` must be unique. Rows without a label are a class too.
 
     The rows with the smallest hashes of each class go to the test side. Every class has one cut point,
-    so the full-width pass is a comparison against a broadcast row per class and shuffles nothing.
+    so the full-width pass is a comparison against a row per class and shuffles nothing while the classes fit a broadcast.
     """
     keyed = df.select(_stratum(label).alias("_class"), hash_key(seed, "split", key).alias("h"), F.col(key).alias("id"))
     quotas = train_quotas(df, label, test_size)
@@ -80,7 +92,7 @@ def stratified_split(
     cuts = _rank_cuts(keyed, "_class", targets.where("target_rank > 0"), slices)
     limit = cuts.select("_class", F.struct("h", "id").alias("_cut"))
     mine = F.struct(hash_key(seed, "split", key).alias("h"), F.col(key).alias("id"))
-    flagged = df.withColumn("_class", _stratum(label)).join(F.broadcast(limit), "_class", "left")
+    flagged = df.withColumn("_class", _stratum(label)).join(limit, "_class", "left")
     return flagged.withColumn(column, F.coalesce((mine <= F.col("_cut")).cast("int"), F.lit(0))).drop("_cut").select(*df.columns, column)
 
 
@@ -98,7 +110,7 @@ def stratified_folds(
     limits = cuts.groupBy("_class").agg(F.collect_list(F.struct("h", "id")).alias("_cuts"))
     mine = F.struct(hash_key(seed, "fold", key).alias("h"), F.col(key).alias("id"))
     passed = F.size(F.filter("_cuts", lambda c: c < mine))
-    classed = df.withColumn("_class", _stratum(label)).join(F.broadcast(limits), "_class", "left")
+    classed = df.withColumn("_class", _stratum(label)).join(limits, "_class", "left")
     return classed.withColumn(column, F.coalesce(passed, F.lit(0)).cast("int")).select(*df.columns, column)
 
 
@@ -120,17 +132,76 @@ def row_index(df: DataFrame, key: str, slices: int = DEFAULT_SLICES) -> DataFram
     return numbered.select(key, (F.col("offset") + F.col("place")).cast("bigint").alias("row_index"))
 
 
-def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42, slices: int = DEFAULT_SLICES) -> DataFrame:
-    """Exactly ``n`` rows drawn with replacement, with their draw number in ``draw``. ``key`` must be unique, else it fails.
+def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42, slices: int = BOOTSTRAP_SLICES) -> DataFrame:
+    """Exactly ``n`` rows drawn with replacement, with their draw number in ``draw``; any row may be drawn any number of times.
 
-    Only keys are numbered and shuffled; full rows are fetched by key for the drawn ones.
+    Rows are numbered by the hash of their key, then the key (null last), then a digest of their content; rows that are equal in all
+    columns are one entry with a count. A draw is a number below the row count. Counts per hash slice tell which slice holds it,
+    only the slices that hold a draw are numbered, and full rows are fetched for the drawn entries alone: three readings
+    of ``df``, and one more if a drawn key has several rows. An empty table gives no draws.
     """
-    index = row_index(df, key, slices)
-    total = df.agg(F.count("*")).scalar()
-    drawn = df.sparkSession.range(n).select(F.col("id").alias("draw")).withColumn(
-        "row_index", F.pmod(hash_key(seed, "draw", "draw"), total)
-    )
-    return drawn.join(index, "row_index").drop("row_index").join(df, key).select("draw", *df.columns)
+    spark = df.sparkSession
+    keyed = df.select(hash_key(0, "row", key).alias("h"), F.col(key).alias("k")).withColumn("slice", hash_bucket("h", slices))
+    sizes = {r["slice"]: r["n"] for r in keyed.groupBy("slice").agg(F.count("*").alias("n")).collect()}  # at most `slices` rows
+    total, starts = 0, []
+    for s in sorted(sizes):
+        starts.append((s, total))
+        total += sizes[s]
+    if not total:
+        return df.limit(0).select(F.lit(None).cast("bigint").alias("draw"), "*")
+    offsets = spark.createDataFrame(starts, "slice bigint, offset bigint")
+    draws = spark.range(n).select(F.col("id").alias("draw"), F.pmod(hash_key(seed, "draw", "id"), F.lit(total)).alias("place"))
+
+    # Which slices hold a draw: the offsets are cuts of the places.
+    cuts = offsets.agg(F.array_sort(F.collect_list("offset"))).scalar()
+    held = with_range(draws.withColumn("_cuts", cuts), "place", "_cuts", 2 * slices, "_nth").select(F.col("_nth").alias("nth")).distinct()
+    by_place = spark.createDataFrame([(i + 1, s, o) for i, (s, o) in enumerate(starts)], "nth int, slice bigint, offset bigint")
+    hit = by_place.join(F.broadcast(held), "nth").select("slice", "offset")
+
+    # Equal keys are one entry with a count; an entry's first place is its slice's offset plus the rows before it.
+    entries = keyed.join(F.broadcast(hit), "slice").groupBy("slice", "offset", "h", "k").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("slice").orderBy("h", F.col("k").isNull(), "k").rowsBetween(Window.unboundedPreceding, -1))
+    entries = entries.withColumn("below", F.col("offset") + F.coalesce(before, F.lit(0)))
+    width = F.lit(-(-total // slices)).cast("bigint")
+    drawn = holding(draws.withColumn("w", width), entries.withColumn("w", width), [], "place", "w", ["h", "k", "n", "below"])
+    drawn = written(drawn.select("draw", "h", "k", "n", (F.col("place") - F.col("below")).alias("place")), "drawn")
+
+    wide = df.select(hash_key(0, "row", key).alias("_h"), F.struct("*").alias("_row"))
+    same = (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col(f"_row.{key}"))
+    single = drawn.where("n = 1").join(wide, same).select("draw", "_row.*")
+    several = drawn.where("n > 1")
+    return single if several.isEmpty() else single.unionByName(_fetched(wide, several, key))
+
+
+def _fetched(wide: DataFrame, drawn: DataFrame, key: str) -> DataFrame:
+    """The drawn rows of keys that have several; ``drawn`` has (draw, h, k, n, place) with the place among the key's rows.
+
+    A key's rows stand in the order of a 128-bit digest of their content. Places are counted per digest slice first,
+    so the rows of one key are spread too.
+    """
+    digests = [F.xxhash64("_row").alias("a"), F.xxhash64(F.lit(1), "_row").alias("b")]
+    keys = drawn.select("h", "k", F.col("n").alias("all")).distinct()
+    rows = wide.select(F.col("_h").alias("h"), F.col(f"_row.{key}").alias("k"), *digests)
+    mine = rows.join(keys.select(F.col("h").alias("_h"), F.col("k").alias("_k"), "all"), (F.col("h") == F.col("_h")) & F.col("k").eqNullSafe(F.col("_k")))
+    entries = written(mine.groupBy("h", "k", "all", "a", "b").agg(F.count("*").alias("n")), "entries")
+    part = F.shiftright("a", 52).alias("part")
+    parts = entries.groupBy("h", "k", part).agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("h", "k").orderBy("part"))  # over 4096 rows per key at most
+    parts = parts.select("h", "k", "part", (upto - F.col("n")).alias("start"))
+    placed = entries.withColumn("part", part).alias("e").join(
+        parts.alias("p"), (F.col("e.h") == F.col("p.h")) & F.col("e.k").eqNullSafe(F.col("p.k")) & (F.col("e.part") == F.col("p.part"))
+    ).select("e.*", "p.start")
+    before = F.sum("n").over(Window.partitionBy("h", "k", "part").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1))
+    placed = placed.withColumn("below", F.col("start") + F.coalesce(before, F.lit(0)))
+    width = F.expr("1 + all div 4096")
+    asked = drawn.select("draw", "h", "k", "place", F.expr("1 + n div 4096").alias("w"))
+    found = written(holding(asked, placed.withColumn("w", width), ["h", "k"], "place", "w", ["a", "b"]), "drawn-entries")
+    # Equal rows are interchangeable, so one of them stands for all.
+    contents = found.select(F.col("h").alias("fh"), F.col("a").alias("fa"), F.col("b").alias("fb")).distinct()
+    bodies = wide.select("*", *digests).join(contents, (F.col("_h") == F.col("fh")) & (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")), "left_semi")
+    bodies = bodies.groupBy("_h", "a", "b").agg(F.first("_row").alias("_row"))
+    match = (F.col("f.h") == F.col("b._h")) & (F.col("f.a") == F.col("b.a")) & (F.col("f.b") == F.col("b.b"))
+    return found.alias("f").join(bodies.alias("b"), match).select("f.draw", "b._row.*")
 
 
 @dataclass(frozen=True)
@@ -143,7 +214,6 @@ class NumericShift:
 @dataclass(frozen=True)
 class CategoricalReweight:
     target: Mapping[str, float]
-    max_levels: int = 1000
 
 
 DriftSpec = NumericShift | CategoricalReweight
@@ -184,44 +254,51 @@ def shifted(value: Column, mean: Column, intensity: Column, spec: NumericShift)
     return lower_clip(moved, None if spec.clip_min is None else float(spec.clip_min))
 
 
-def level_shares(df: DataFrame, column: str, spec: CategoricalReweight) -> Column:
-    """Sorted array of (level, share now, target share) as a scalar subquery; nulls don't count.
+def level_intervals(df: DataFrame, column: str, spec: CategoricalReweight, strengths: Sequence[float]) -> tuple[DataFrame, int]:
+    """((strength, level, block, low, high), number of blocks): each level's part of [0, 1) in the interpolated distribution.
 
-    The array is bounded: more than ``max_levels`` levels fail the job instead of filling one row.
+    Levels stand in their own order; the shares now are counts without nulls, and levels of either side take part. The
+    edges come from prefix sums spread over ranges of levels, whatever their number. A level's interval
+    stands once in every block of [0, 1) that it reaches; there are about as many blocks as levels, so a uniform draw
+    meets two candidates on average.
     """
+    kind = df.schema[column].dataType
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("level")).agg(F.count("*").alias("n"))
-    target = df.sparkSession.createDataFrame([(str(k), float(v)) for k, v in spec.target.items()], "level string, target double")
+    target = df.sparkSession.createDataFrame([(str(k), float(v)) for k, v in spec.target.items()], "level string, share double")
+    # Decimal sums don't depend on their order.
+    target = target.select(F.col("level").cast(kind).alias("level"), F.col("share").cast("decimal(28,18)").alias("t"))
     levels = counts.join(target, "level", "full").select(
-        "level", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("target", F.lit(0.0)).alias("target")
-    )
-    capped = levels.limit(spec.max_levels + 1).agg(
-        F.array_sort(F.collect_list(F.struct("level", "n", "target"))).alias("levels"), F.sum("n").alias("total")
-    )
-    too_many = F.size("levels") > spec.max_levels
-    checked = F.when(too_many, F.raise_error(F.lit(f"{column} has more than {spec.max_levels} levels")).cast("boolean")).otherwise(F.lit(True))
-    shares = F.transform(
-        "levels", lambda e: F.struct(e["level"].alias("level"), (e["n"] / F.col("total")).alias("now"), e["target"].alias("target"))
+        "level", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("t", F.lit(0).cast("decimal(28,18)")).alias("t")
     )
-    return capped.select(F.when(checked, shares)).scalar()
-
-
-def reweighted(levels: Column, intensity: Column, draw: Column) -> Column:
-    """The level whose interval of the interpolated distribution holds the draw."""
-    weights = F.transform(
-        levels,
-        lambda e: F.struct(e["level"].alias("level"), ((F.lit(1.0) - intensity) * e["now"] + intensity * e["target"]).alias("w")),
-    )
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, e: acc + e["w"])
-    start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast("string").alias("chosen"))
-
-    def step(acc, e):
-        upto = acc["upto"] + e["w"] / total
-        return F.struct(
-            upto.alias("upto"), F.when(acc["chosen"].isNull() & (draw < upto), e["level"]).otherwise(acc["chosen"]).alias("chosen")
-        )
-
-    # Rounding can leave the last edge below 1; a draw above it belongs to the last level.
-    return F.coalesce(F.aggregate(weights, start, step)["chosen"], F.element_at(levels, -1)["level"])
+    levels = written(levels.where("n > 0 OR t > 0"), "levels")
+    number = levels.count()
+    blocks = min(MOST_BLOCKS, 1 << max(0, number - 1).bit_length())
+    sums = running_sums(levels, [], "level", ["n", "t"])
+    share = lambda n: F.coalesce(F.try_divide(n.cast("double"), F.col("n_total")), F.lit(0.0))
+    low_n, high_n = share(F.col("n_before")), share(F.col("n_before") + F.col("n"))
+    low_t, high_t = F.col("t_before").cast("double"), (F.col("t_before") + F.col("t")).cast("double")
+    i = F.col("strength")
+    whole = (F.lit(1.0) - i) * (F.col("n_total") > 0).cast("double") + i * F.col("t_total").cast("double")
+    edge = lambda n, t: F.try_divide((F.lit(1.0) - i) * n + i * t, whole)
+    each = sums.withColumn("strength", F.explode(F.array(*[F.lit(float(x)) for x in strengths])))
+    # Rounding can leave the last edge below 1, and a draw can be 1 itself: both belong to the last level that has any weight.
+    last = ((i == 1) | (F.col("n_before") + F.col("n") == F.col("n_total"))) & ((i == 0) | (F.col("t_before") + F.col("t") == F.col("t_total")))
+    edges = each.select("strength", "level", edge(low_n, low_t).alias("low"), edge(high_n, high_t).alias("high"), last.alias("last"))
+    edges = edges.where("low < high").withColumn("high", F.when(F.col("last"), F.lit(2.0)).otherwise(F.col("high"))).drop("last")
+    block = lambda x: F.least(F.floor(x * F.lit(float(blocks))), F.lit(blocks - 1))
+    return edges.withColumn("block", F.explode(F.sequence(block(F.col("low")), block(F.col("high"))))), blocks
+
+
+def _reweighted(batch: DataFrame, column: str, intervals: DataFrame, blocks: int, strength: Column, draw: Column) -> DataFrame:
+    """The batch with the column's values drawn anew: a join of its draws to the intervals of their block.
+
+    The intervals are broadcast or shuffled as their measured size allows.
+    """
+    u = batch.withColumns({"_u": draw, "_strength": strength.cast("double")})
+    u = u.withColumn("_block", F.least(F.floor(F.col("_u") * F.lit(float(blocks))), F.lit(blocks - 1)))
+    intervals = intervals.select("strength", "block", "low", "high", F.col("level").alias("_level"))
+    inside = (F.col("_strength") == F.col("strength")) & (F.col("_block") == F.col("block")) & (F.col("low") <= F.col("_u")) & (F.col("_u") < F.col("high"))
+    return u.join(intervals, inside, "left").select(*[F.col("_level").alias(c) if c == column else F.col(f"`{c}`") for c in batch.columns])
 
 
 def apply_drift(
@@ -234,30 +311,39 @@ def apply_drift(
     seed: int = 42,
     row: str = "draw",
     shared_stream: bool = False,
+    strengths: Sequence[float] | None = None,
 ) -> DataFrame:
     """Perturb the listed columns of a batch; the label can't be listed, other columns stay.
 
     ``source`` holds the unperturbed batch that means and shares are taken from when ``batch`` repeats
-    it for several intensities; ``row`` identifies a row of it.
+    it for several intensities; ``row`` identifies a row of it. Where ``intensity`` is a column, ``strengths`` lists its values; if not given
+    they are read from the batch.
     """
     if target in specs:
         raise ValueError(f"the label {target!r} can't be perturbed")
     source = batch if source is None else source
-    strength = F.lit(float(intensity)) if isinstance(intensity, (int, float)) else intensity
-    changes, levels = {}, {}
+    if isinstance(intensity, (int, float)):
+        strength, strengths = F.lit(float(intensity)), [float(intensity)]
+    else:
+        strength = intensity
+    changes, drawn = {}, {}
     for column, spec in specs.items():
         if isinstance(spec, NumericShift):
             value = F.col(column).cast("double")
             mean = source.agg(F.avg(F.col(column).cast("double"))).scalar()
             changes[column] = shifted(value, mean, strength, spec)
         elif isinstance(spec, CategoricalReweight):
-            stream = "reweight" if shared_stream else f"reweight:{column}"
-            # A subquery can't stand inside a higher-order function, so it becomes a column first.
-            levels[f"_levels_{column}"] = level_shares(source, column, spec)
-            changes[column] = reweighted(F.col(f"_levels_{column}"), strength, uniform(seed, stream, row))
+            drawn[column] = spec
         else:
             raise ValueError(f"unknown drift spec for {column}: {spec!r}")
-    return batch.withColumns(levels).withColumns(changes).drop(*levels)
+    if drawn and strengths is None:
+        strengths = [r[0] for r in batch.select(strength.cast("double")).distinct().collect() if r[0] is not None]  # one per batch
+    out = batch.withColumns(changes)
+    for column, spec in drawn.items():
+        stream = "reweight" if shared_stream else f"reweight:{column}"
+        intervals, blocks = level_intervals(source, column, spec, strengths)
+        out = _reweighted(out, column, intervals, blocks, strength, uniform(seed, stream, row))
+    return out
 
 
 def drift_sweep(reference: DataFrame, key: str, plan: BatchPlan = BatchPlan(), target: str = "Churn Label") -> DataFrame:
@@ -265,9 +351,16 @@ def drift_sweep(reference: DataFrame, key: str, plan: BatchPlan = BatchPlan(), t
 
     All intensities perturb the same drawn rows, so the draw happens once.
     """
-    drawn = bootstrap(reference, key, plan.batch_size, plan.seed)
+    drawn = written(bootstrap(reference, key, plan.batch_size, plan.seed), "batch")
     levels = F.explode(F.array(*[F.lit(float(i)) for i in plan.intensities]))
     batches = drawn.withColumn("intensity", levels).withColumn("batch_name", batch_name(F.col("intensity")))
     return apply_drift(
-        batches, plan.specs, F.col("intensity"), source=drawn, target=target, seed=plan.seed, shared_stream=plan.shared_stream
+        batches,
+        plan.specs,
+        F.col("intensity"),
+        source=drawn,
+        target=target,
+        seed=plan.seed,
+        shared_stream=plan.shared_stream,
+        strengths=plan.intensities,
     )

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.functions.hashing import uniform
 from retentia.operators.models import family_pipeline, tree_params, without_training_stages
+from retentia.operators.preprocess import FEATURES, WEIGHT
 from retentia.operators.sampling import stratified_folds
+from retentia.session import delete_path, scratch_path
 
 
 @dataclass(frozen=True)
@@ -93,36 +95,51 @@ def cv_search(
 ) -> tuple[DataFrame, dict[str, object], PipelineModel]:
     """((trial, params, mean_f1), best params, best model refitted on all rows).
 
-    Weights, medians and level lists are learned again inside every fold. The prepared frame is read
-    by every fit, so it is persisted for the search; losing an executor recomputes its part.
+    Weights, medians and levels are learned once per fold, on its training side, and both sides are stored in encoded form; a
+    trial fits and tests its learner on those tables alone. The tables of a fold are deleted after its last trial.
     """
     spark = train.sparkSession
     trials = [(r["trial"], dict(r["params"])) for r in draw_trials(spark, plan).orderBy("trial").collect()]
-    folded = stratified_folds(train, label, key, plan.folds, plan.seed).persist()
-    try:
-        pipeline = family_pipeline(family, train, label, {}, skip=[key, "fold"], high_cardinality=high_cardinality, seed=plan.seed)
-        learner = pipeline.getStages()[-1]
-        grids = []
-        for _, params in trials:
-            grid = ParamGridBuilder()
-            for name, value in tree_params(params).items():
-                grid = grid.baseOn((learner.getParam(name), value))
-            grids += grid.build()
-        search = CrossValidator(
-            estimator=pipeline,
-            estimatorParamMaps=grids,
-            evaluator=f1_evaluator(label),
-            numFolds=plan.folds,
-            foldCol="fold",
-            parallelism=parallelism,
-            seed=plan.seed,
-        ).fit(folded)
-    finally:
-        folded.unpersist()
-    rows = [(t, json.dumps(p, sort_keys=True), float(f1)) for (t, p), f1 in zip(trials, search.avgMetrics)]
-    table = spark.createDataFrame(rows, "trial bigint, params string, mean_f1 double")
-    best = max(range(len(rows)), key=lambda i: (rows[i][2], -rows[i][0]))
-    return table, trials[best][1], without_training_stages(search.bestModel)
+    path = scratch_path(spark, "folds")
+    stratified_folds(train, label, key, plan.folds, plan.seed).write.parquet(path)
+    folded = spark.read.parquet(path)
+    pipeline = family_pipeline(family, train, label, {}, skip=[key, "fold"], high_cardinality=high_cardinality, seed=plan.seed)
+    *preparation, learner = pipeline.getStages()
+    grid = [{learner.getParam(n): v for n, v in tree_params(params).items()} for _, params in trials]
+    evaluator = f1_evaluator(label)
+    scores = []
+    for fold in range(plan.folds):
+        folder = scratch_path(spark, "fold")
+        sides = encoded_fold(folded, fold, preparation, label, folder)
+
+        def tested(params: dict) -> float:
+            return evaluator.evaluate(learner.copy(params).fit(sides["train"]).transform(sides["test"]))
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores += [(t, fold, float(f1)) for (t, _), f1 in zip(trials, pool.map(tested, grid))]
+        delete_path(spark, folder)
+    delete_path(spark, path)
+    means = fold_means(spark.createDataFrame(scores, "trial bigint, fold int, f1 double"))
+    found = {r["trial"]: r["mean_f1"] for r in means.collect()}  # a row per trial
+    rows = [(t, json.dumps(p, sort_keys=True), found[t]) for t, p in trials]
+    best = dict(trials)[max(found, key=lambda t: (found[t], -t))]
+    settings = {learner.getParam(n): v for n, v in tree_params(best).items()}
+    model = Pipeline(stages=[*preparation, learner.copy(settings)]).fit(train)
+    return spark.createDataFrame(rows, "trial bigint, params string, mean_f1 double"), best, without_training_stages(model)
+
+
+def encoded_fold(folded: DataFrame, fold: int, preparation: Sequence, label: str, folder: str) -> dict[str, DataFrame]:
+    """The two sides of a fold as tables of label, weight and features below ``folder``; everything learned comes from the training side."""
+    train, test = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+    fitted = Pipeline(stages=list(preparation)).fit(train)
+    fitted.transform(train).select(label, WEIGHT, FEATURES).write.parquet(f"{folder}/train")
+    without_training_stages(fitted).transform(test).select(label, FEATURES).write.parquet(f"{folder}/test")
+    return {side: folded.sparkSession.read.parquet(f"{folder}/{side}") for side in ("train", "test")}
+
+
+def fold_means(scores: DataFrame) -> DataFrame:
+    """(trial, mean_f1) from one row per trial and fold."""
+    return scores.groupBy("trial").agg(F.avg("f1").alias("mean_f1"))
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.session import scratch_path
-from retentia.sources.tables import table
+from retentia.sources.tables import fingerprint, table
 
 CUTOFF = "2000-08-01"
 SERVICE_START = "2000-02-01"
@@ -26,6 +26,11 @@ SERVICES = {
 
 
 def customer360(spark: SparkSession, folder: str, cutoff: str = CUTOFF, service_start: str = SERVICE_START) -> DataFrame:
+    """All customers with an order before ``cutoff``.
+
+    History counts every order before the cutoff and the label every order after it. The services are those in use at the cutoff: of
+    orders from ``service_start`` on, half a year by default. Both dates are settings of the features.
+    """
     cut = F.expr(f"TIMESTAMP_NTZ '{cutoff} 00:00:00'")
     start = F.expr(f"TIMESTAMP_NTZ '{service_start} 00:00:00'")
     orders = table(spark, folder, "orders")
@@ -93,16 +98,17 @@ def customer360(spark: SparkSession, folder: str, cutoff: str = CUTOFF, service_
     )
 
 
-_written: dict[tuple[str, str], str] = {}
+SOURCES = ("orders", "lineitem", "part", "nation", "region", "customer")
+_written: dict[tuple[str, str, str], str] = {}
 
 
 def customer360_table(spark: SparkSession, folder: str) -> DataFrame:
-    """``customer360`` written once per session to the shared folder and read from there.
+    """``customer360`` written to the shared folder and read from there, once per session and state of the source files.
 
     Most flows read it several times; the written table spares them the joins and survives the loss
     of the executors that made it.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, fingerprint(spark, folder, SOURCES))
     if key in _written:
         try:
             return spark.read.parquet(_written[key])

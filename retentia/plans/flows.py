@@ -23,6 +23,7 @@ from retentia.operators.registry import Registry
 from retentia.operators.sampling import BatchPlan, drift_sweep, stratified_split
 from retentia.operators.tuning import SearchPlan, cv_search
 from retentia.operators.value import ValueRule, with_retention_value
+from retentia.session import written
 from retentia.sources.artifacts import (
     MissingArtifact,
     load_model,
@@ -188,15 +189,16 @@ def promote(spark: SparkSession, ws: Workspace, rule: PromotionRule = PromotionR
         overall = frame.where(F.col("segment_column") == OVERALL)
         return overall.select(F.lit(name).alias("role"), F.lit(version).cast("bigint").alias("version"), *METRICS)
 
-    new = measured(registry.version_path(ws.model_name, challenger)).persist()
+    new = written(measured(registry.version_path(ws.model_name, challenger)), "challenger-metrics")
     roles = role(new, "challenger", challenger)
     metrics = {f"challenger_{k}": v for k, v in _metrics_row(roles).items()}
     if champion is None:
         decision = spark.createDataFrame(
-            [(True, "bootstrap", None, [])], "promote boolean, reason string, aggregate_margin double, regressions array<string>"
+            [(True, "bootstrap", None, [], {})],
+            "promote boolean, reason string, aggregate_margin double, regressions array<string>, regression_deltas map<string,double>",
         )
     else:
-        old = measured(champion_path).persist()
+        old = written(measured(champion_path), "champion-metrics")
         decision = promotion_decision(old, new, rule)
         roles = roles.unionByName(role(old, "champion", champion))
         metrics |= {f"champion_{k}": v for k, v in _metrics_row(role(old, "champion", champion)).items()}

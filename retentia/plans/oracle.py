@@ -136,6 +136,15 @@ oracle(
        UNION ALL SELECT 'min', 'p_brand', count(*) FILTER (WHERE CAST(split_part(p_brand, '#', 2) AS BIGINT) < 5) FROM part
        UNION ALL SELECT 'type', 'p_type', count(*) FILTER (WHERE TRY_CAST(p_type AS BIGINT) IS NULL) FROM part""",
 )
+oracle(
+    "coerce_fractions",
+    """WITH t AS (SELECT l_linenumber AS n, l_suppkey % 3 AS d, l_extendedprice AS p, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+       c AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE n < 2) AS low, count(*) FILTER (WHERE d <> 0) AS tiny, count(*) FILTER (WHERE d = 0 AND n < 2) AS tiny_low,
+         count(*) FILTER (WHERE p <> floor(p)) AS price, count(*) FILTER (WHERE p = floor(p) AND p < 2) AS price_low FROM t)
+       SELECT rule, "column", n_violations FROM c, LATERAL (VALUES ('type', 'zero', 0), ('not_null', 'zero', 0), ('min', 'zero', low), ('type', 'tiny', tiny), ('not_null', 'tiny', 0),
+         ('min', 'tiny', tiny_low), ('type', 'price', price), ('not_null', 'price', 0), ('min', 'price', price_low),
+         ('type', 'exponent', n_rows), ('not_null', 'exponent', 0), ('min', 'exponent', 0)) v(rule, "column", n_violations)""",
+)
 oracle(
     "contract_duplicate_keys",
     "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
@@ -148,8 +157,7 @@ oracle(
 )
 oracle(
     "unknown_values",
-    """SELECT c_nationkey, count(*) AS n_rows FROM customer
-       WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000) GROUP BY c_nationkey""",
+    "SELECT c_custkey, count(*) AS n_rows FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL) GROUP BY c_custkey",
 )
 oracle("known_values", "SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL ORDER BY p_brand")
 
@@ -176,7 +184,7 @@ oracle(
 oracle(
     "profile_constant",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\" FROM wide HAVING count(DISTINCT {c}) = 1" for c in ["o_orderstatus", "o_orderpriority", "o_custkey", "quarter", "country"]
+        f"SELECT '{c}' AS \"column\" FROM wide HAVING count(DISTINCT {c}) = 1" for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "quarter", "country"]
     ),
     "wide AS (SELECT *, 'Q3' AS quarter, 'US' AS country FROM orders)",
 )
@@ -379,9 +387,10 @@ def _bootstrap(source: str, key: str, n: str, seed: int) -> str:
 oracle("bootstrap_batch", "SELECT draw, customer_id FROM boot", _bootstrap("scored", "customer_id", "500", 42), base=True)
 oracle(
     "bootstrap_lineitem_orders",
-    "SELECT times, count(*) AS n_orders FROM (SELECT o_orderkey, count(*) AS times FROM boot GROUP BY 1) GROUP BY times",
-    _bootstrap("orders", "o_orderkey", "(SELECT count(*) FROM orders)", 7),
+    "SELECT times, count(*) AS n_orders FROM (SELECT l_orderkey, count(*) AS times FROM boot GROUP BY 1) GROUP BY times",
+    _bootstrap("lineitem", "l_orderkey", "(SELECT count(*) FROM orders)", 7),
 )
+oracle("bootstrap_repeated_keys", "SELECT draw, l_orderkey, 1 AS known FROM boot", _bootstrap("lineitem", "l_orderkey", "2000", 11))
 oracle(
     "numeric_shift",
     """SELECT customer_id, round(mc + (monthly_charge - mc) * (1.0::DOUBLE + 0.75::DOUBLE * 0.4::DOUBLE) + 0.75::DOUBLE * 1500, 4) AS monthly_charge,
@@ -391,8 +400,8 @@ oracle(
 )
 
 
-def _reweight(name: str, source: str, column: str, target: dict[str, float], intensities: str) -> str:
-    rows = ", ".join(f"('{k}', {v}::DOUBLE)" for k, v in target.items())
+def _reweight(name: str, source: str, column: str, target: dict[str, float], intensities: str, kind: str = "VARCHAR") -> str:
+    rows = ", ".join(f"(CAST('{k}' AS {kind}), {v}::DOUBLE)" for k, v in target.items())
     return f"""{name}_now AS (SELECT {column} AS level, count(*) AS n FROM {source} WHERE {column} IS NOT NULL GROUP BY 1),
     {name}_target(level, target) AS (VALUES {rows}),
     {name}_levels AS (SELECT coalesce(a.level, t.level) AS level, coalesce(n, 0) / (SELECT CAST(sum(n) AS DOUBLE) FROM {name}_now) AS now, coalesce(target, 0.0::DOUBLE) AS target
@@ -416,22 +425,34 @@ oracle(
     base=True,
 )
 
-_SWEEP = [
-    _bootstrap("scored", "customer_id", "500", 42),
-    f"base AS (SELECT boot.draw, s.* FROM boot JOIN scored s USING (customer_id))",
-    _reweight("ct", "base", "contract", _CONTRACT_TARGET, str(list(b.BATCHES.intensities))),
-    _reweight("pm", "base", "payment_method", _PAYMENT_TARGET, str(list(b.BATCHES.intensities))),
-    f"""means AS (SELECT avg(monthly_charge) AS mc, avg(CAST(tenure_in_months AS DOUBLE)) AS mt FROM base),
+oracle(
+    "reweight_many_levels",
+    "SELECT o_orderkey, level AS o_custkey FROM draws JOIN ck_edges ON u >= lo AND u < hi",
+    _reweight("ck", "orders", "o_custkey", {"7": 0.25, "100": 0.5, "99999999": 0.25}, "[0.5]", "BIGINT"),
+    f"draws AS (SELECT o_orderkey, {uniform(42, 'reweight:o_custkey', 'o_orderkey')} AS u FROM orders)",
+)
+
+def _sweep(source: str, extra: str = "") -> list[str]:
+    """CTEs ending in ``batches``: the drifted batches drawn from ``source``; ``extra`` lists more columns that stay."""
+    return [
+        _bootstrap(source, "customer_id", "500", 42),
+        f"base AS (SELECT boot.draw, s.* FROM boot JOIN {source} s USING (customer_id))",
+        _reweight("ct", "base", "contract", _CONTRACT_TARGET, str(list(b.BATCHES.intensities))),
+        _reweight("pm", "base", "payment_method", _PAYMENT_TARGET, str(list(b.BATCHES.intensities))),
+        f"""means AS (SELECT avg(monthly_charge) AS mc, avg(CAST(tenure_in_months AS DOUBLE)) AS mt FROM base),
     steps AS (SELECT CAST(unnest({list(b.BATCHES.intensities)}) AS DOUBLE) AS intensity),
     draws AS (SELECT draw, {uniform(42, 'reweight:contract', 'draw')} AS uc, {uniform(42, 'reweight:payment_method', 'draw')} AS up FROM base),
     batches AS (
       SELECT printf('batch_intensity_%.2f', s.intensity) AS batch_name, s.intensity, base.draw, customer_id, segment, region, internet_service, internet_type,
-             c.level AS contract, p.level AS payment_method, recency_days, n_orders, total_charges,
+             c.level AS contract, p.level AS payment_method, recency_days, n_orders, total_charges, {extra}
              greatest(mt + (tenure_in_months - mt) * 1.0::DOUBLE + s.intensity * -8, 0) AS tenure_in_months,
              mc + (monthly_charge - mc) * (1.0::DOUBLE + s.intensity * 0.5::DOUBLE) + s.intensity * 5000 AS monthly_charge
       FROM base JOIN draws USING (draw), steps s, means, ct_edges c, pm_edges p
       WHERE c.intensity = s.intensity AND uc >= c.lo AND uc < c.hi AND p.intensity = s.intensity AND up >= p.lo AND up < p.hi)""",
-]
+    ]
+
+
+_SWEEP = _sweep("scored")
 oracle(
     "drift_sweep",
     """SELECT batch_name, intensity, draw, customer_id, contract, payment_method, round(tenure_in_months, 6) AS tenure_in_months,
@@ -448,6 +469,29 @@ oracle(
     base=True,
 )
 
+def _codes(column: str, name: str) -> str:
+    return f"""{name}_level AS (SELECT {column} AS lv, count(*) AS n, sum(y) AS s FROM o GROUP BY ALL), {name}_fold AS (SELECT {column} AS lv, f, count(*) AS n, sum(y) AS s FROM o GROUP BY ALL),
+    {name} AS (
+      SELECT o_orderkey, round((l.s + 20.0::DOUBLE * w.s / w.n) / (l.n + 20), 9) AS score,
+        round((l.s - p.s + 20.0::DOUBLE * (w.s - x.s) / (w.n - x.n)) / (l.n - p.n + 20), 9) AS code
+      FROM o JOIN {name}_level l ON l.lv = {column} JOIN {name}_fold p ON p.lv = {column} AND p.f = o.f JOIN folds x ON x.f = o.f, whole w)"""
+
+
+oracle(
+    "target_codes",
+    """SELECT o_orderkey, c.code AS customer_code, p.code AS priority_code, c.score AS customer_score, p.score AS priority_score
+       FROM customer_codes c JOIN priority_codes p USING (o_orderkey)""",
+    f"""o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
+         {hashed(42, 'encode', 'o_orderkey')} % 5 AS f FROM orders),
+    whole AS (SELECT count(*) AS n, sum(y) AS s FROM o), folds AS (SELECT f, count(*) AS n, sum(y) AS s FROM o GROUP BY f)""",
+    _codes("customer", "customer_codes"),
+    _codes("o_orderpriority", "priority_codes"),
+)
+oracle(
+    "level_counts",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n FROM documents" for c in ("lang", "source", "text")),
+)
+
 # ---- drift ------------------------------------------------------------------------------------------
 
 
@@ -524,6 +568,31 @@ oracle(
     'SELECT batch, "column", kind, method, round(score, 6) AS score, 0.1::DOUBLE AS threshold, drifted FROM cols',
     _era_drift(["o_totalprice", "o_custkey"], ["o_orderpriority", "o_orderstatus"]),
 )
+oracle(
+    "drift_many_batches",
+    'SELECT batch, "column", kind, method, round(score, 6) AS score, 0.1::DOUBLE AS threshold, drifted FROM cols',
+    _drift(
+        "orders", "orders", "printf('group %03d', o_custkey % 500)", ["o_totalprice", "o_custkey"], ["o_orderpriority", "o_orderstatus"],
+        f"o_orderdate < {_ERA}", f"o_orderdate >= {_ERA}",
+    ),
+)
+oracle(
+    "drift_ks_exact",
+    """SELECT "column", 'ks_exact' AS method, round(p, 6) AS score, p < 0.05 AS drifted FROM (
+       WITH RECURSIVE sides AS MATERIALIZED (
+         SELECT col, least(n_ref, n_cur)::BIGINT AS a, greatest(n_ref, n_cur)::BIGINT AS b, round(ks * n_ref * n_cur)::BIGINT AS h FROM nstat),
+       walk AS (
+         SELECT col, a, b, h, 0::BIGINT AS s, list_transform(range(a + 1), lambda i: CASE WHEN i = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END) AS v FROM sides
+         UNION ALL
+         SELECT col, a, b, h, s + 1, list_transform(range(a + 1), lambda i: CASE
+             WHEN i > s + 1 OR s + 1 - i > b THEN 0.0::DOUBLE
+             WHEN abs(i * (a + b) - (s + 1) * a) >= h THEN 1.0::DOUBLE
+             ELSE (i * coalesce(v[i], 0.0::DOUBLE) + (s + 1 - i) * v[i + 1]) / (s + 1) END)
+         FROM walk WHERE s < a + b)
+       SELECT col AS "column", v[a + 1] AS p FROM walk WHERE s = a + b)""",
+    _drift("scored", "scored", "'current'", b.NUMERIC, [], "tenure_in_months < 55", "tenure_in_months >= 55"),
+    base=True,
+)
 oracle(
     "drift_p_values",
     """SELECT "column", kind, method, round(p, 6) AS score, 0.05::DOUBLE AS threshold, p < 0.05 AS drifted FROM (
@@ -653,9 +722,12 @@ oracle(
 def _promotion(margin: float) -> str:
     return f"""SELECT margin >= {margin} AND bad = '' AS promote,
        CASE WHEN NOT margin >= {margin} THEN 'margin not reached' WHEN bad <> '' THEN 'segment regression' ELSE 'wins' END AS reason,
-       round(margin, 6) AS aggregate_margin, CASE WHEN margin >= {margin} THEN bad ELSE '' END AS regressions
+       round(margin, 6) AS aggregate_margin, CASE WHEN margin >= {margin} THEN bad ELSE '' END AS regressions,
+       CASE WHEN margin >= {margin} THEN bad_deltas ELSE '' END AS regression_deltas
        FROM (SELECT max(CASE WHEN grp = 'overall=overall' THEN delta END) AS margin,
-             coalesce(string_agg(CASE WHEN grp <> 'overall=overall' AND delta < -0.03 THEN grp END, ',' ORDER BY grp), '') AS bad FROM deltas)"""
+             coalesce(string_agg(CASE WHEN grp <> 'overall=overall' AND delta < -0.03 THEN grp END, ',' ORDER BY grp), '') AS bad,
+             coalesce(string_agg(CASE WHEN grp <> 'overall=overall' AND delta < -0.03 THEN grp || ':' || printf('%.6f', delta) END, ',' ORDER BY grp), '') AS bad_deltas
+             FROM deltas)"""
 
 
 oracle("promotion_decision", _promotion(0.01), *_two(_S1, _S2), _DELTAS, base=True)
@@ -674,6 +746,11 @@ oracle(
     *_two(_S1, _S2),
     base=True,
 )
+oracle(
+    "registry_writers",
+    """SELECT r_name AS model_name, count(*) AS n_versions, count(*) AS n_numbers, count(*) AS latest, count(DISTINCT n_name) AS n_runs, count(*) AS n_moves,
+       count(*) AS last_step FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
+)
 _K = "json_extract_string(props, '$.k')"
 oracle(
     "latest_versions",
@@ -744,3 +821,119 @@ oracle(
        UNION ALL SELECT 'categorical__internet_service_' || internet_service, 'internet_service: ' || internet_service FROM scored) GROUP BY 1, 2""",
     base=True,
 )
+
+# ---- files, reports, registry and encoded frames ----------------------------------------------------
+
+oracle("csv_customers", f"SELECT {_all(b.CUSTOMER360_CONTRACT.names)} FROM scored", base=True)
+
+
+def _differences(name: str, declared) -> str:
+    listed = _all(f"('{c}')" for c in declared)
+    return f"""SELECT '{name}' AS "table", 'missing' AS kind, c AS "column" FROM (VALUES {listed}) v(c) WHERE c NOT IN (SELECT column_name FROM (DESCRIBE {name}))
+        UNION ALL SELECT '{name}', 'unexpected', column_name FROM (DESCRIBE {name}) WHERE column_name NOT IN (SELECT c FROM (VALUES {listed}) v(c))"""
+
+
+oracle("column_differences", f"{_differences('orders', b.ORDERS_CONTRACT.names)} UNION ALL {_differences('customer', [*b.CUSTOMER_CONTRACT.names, 'c_segment_code', 'c_since'])}")
+oracle("renamed_requests", "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer")
+oracle(
+    "report_round_trip",
+    "SELECT region, round(avg(churn) * 100, 6) AS churn_rate, CAST(2 AS BIGINT) AS n_reads, CAST(2 AS INTEGER) AS n_absent FROM scored GROUP BY region",
+    base=True,
+)
+oracle("value_list", "SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL")
+oracle("stored_parameters", "SELECT c_mktsegment AS name, count(*) AS value FROM customer GROUP BY 1 UNION ALL SELECT 'fixed', 7")
+oracle("drift_detail_files", "SELECT o_orderstatus AS batch, o_orderpriority AS \"column\", count(*) AS score FROM orders GROUP BY ALL")
+oracle(
+    "run_log",
+    """SELECT 'balances' AS experiment, 'nation ' || c_nationkey AS run_name, count(*) AS n, round(avg(c_acctbal), 4) AS balance, CAST(1 AS INTEGER) AS n_metrics
+       FROM customer GROUP BY c_nationkey""",
+)
+
+
+def _roles(name: str, text) -> str:
+    wide = " UNION ALL ".join(f"SELECT '{name}', '{c}', 'wide text' FROM {name} HAVING count(DISTINCT {c}) > 100" for c in text)
+    return f"""SELECT '{name}' AS "table", column_name AS "column", CASE WHEN column_type = 'VARCHAR' THEN 'text' ELSE 'numeric' END AS role
+        FROM (DESCRIBE {name}) WHERE column_type IN ('VARCHAR', 'BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT') UNION ALL {wide}"""
+
+
+oracle(
+    "column_roles",
+    " UNION ALL ".join(
+        [_roles("documents", ["text", "lang", "source"]), _roles("orders", ["o_orderstatus", "o_orderpriority"]), _roles("part", ["p_name", "p_brand", "p_type"])]
+    ),
+)
+oracle("under_30_flags", "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'unknown' WHEN c_custkey % 60 < 30 THEN 'Yes' ELSE 'No' END AS under_30 FROM customer")
+oracle(
+    "zipped_names",
+    " UNION ALL ".join(f"SELECT customer_id, '{c}' AS name, CAST({c} AS DOUBLE) AS value FROM scored" for c in b.NUMERIC),
+    base=True,
+)
+oracle(
+    "fold_scores",
+    """WITH f AS (SELECT o_custkey % 20 AS trial, o_orderkey % 5 AS fold, avg(o_totalprice) AS f1 FROM orders GROUP BY ALL),
+       m AS (SELECT trial, avg(f1) AS mean_f1 FROM f GROUP BY trial)
+       SELECT trial, round(mean_f1, 6) AS mean_f1, row_number() OVER (ORDER BY mean_f1 DESC, trial) = 1 AS best FROM m""",
+)
+oracle(
+    "encoded_customers",
+    " UNION ALL ".join(
+        [f"SELECT customer_id, 'numeric__{c}' AS feature, round(CAST({c} AS DOUBLE), 6) AS value FROM scored WHERE {c} <> 0" for c in b.NUMERIC]
+        + [f"SELECT customer_id, 'categorical__{c}_' || coalesce({c}, 'Missing'), 1.0::DOUBLE FROM scored" for c in b.TEXT]
+    ),
+    base=True,
+)
+
+# ---- models -----------------------------------------------------------------------------------------
+
+_SIDES = _split("scored", "churn", "customer_id")
+_TRAIN = f"""train AS (SELECT s.*, CASE WHEN tenure_in_months < 48 THEN 1 ELSE 0 END AS is_new_customer,
+    {" + ".join(f"CASE WHEN {c} = 'Yes' THEN 1 ELSE 0 END" for c in SVC)} AS num_extra_services
+    FROM scored s JOIN ranked r USING (customer_id) JOIN quotas q USING (cls) WHERE rn > n - n_train)"""
+oracle(
+    "model_selection",
+    """SELECT family, n_test, n_positive, FALSE AS out_of_range, TRUE AS f1_fits, TRUE AS ranked
+       FROM (VALUES ('logistic_regression'), ('boosted_trees'), ('boosted_trees_deep'), ('native_categories')) f(family),
+       (SELECT count(*) AS n_test, CAST(sum(cls) AS BIGINT) AS n_positive FROM ranked JOIN quotas USING (cls) WHERE rn <= n - n_train)""",
+    _SIDES,
+    base=True,
+)
+_TRIAL = {name: uniform(42, f"trial:{name}", "trial") for name in ("n_estimators", "max_depth", "learning_rate")}
+oracle(
+    "cv_search",
+    f"""SELECT CAST(trial AS BIGINT) AS trial, 2 + least(floor({_TRIAL["n_estimators"]} * 3), 2) AS n_estimators, 2 + least(floor({_TRIAL["max_depth"]} * 2), 1) AS max_depth,
+       round(exp(ln(0.05::DOUBLE) + {_TRIAL["learning_rate"]} * (ln(0.3::DOUBLE) - ln(0.05::DOUBLE))), 9) AS learning_rate, TRUE AS f1_in_range, CAST(1 AS BIGINT) AS version
+       FROM range(2) t(trial)""",
+)
+oracle(
+    "promotion_flow",
+    "SELECT CAST(step AS INTEGER) AS step, TRUE AS verdict_fits, TRUE AS reason_fits, CAST(2 AS BIGINT) AS latest, TRUE AS alias_fits FROM (VALUES (1), (2)) t(step)",
+)
+oracle(
+    "score_batch",
+    """SELECT customer_id, TRUE AS is_probability, TRUE AS class_fits, '1' AS model_version, remaining_months, round(value_at_risk, 4) AS value_at_risk,
+       TRUE AS loss_fits, TRUE AS benefit_fits FROM valued""",
+    _VALUED,
+    base=True,
+)
+for _name in ("tree_explain", "linear_model_explain"):
+    oracle(_name, "SELECT customer_id, TRUE AS adds_up, CAST(15 AS BIGINT) AS n_reasons, TRUE AS in_order FROM scored", base=True)
+oracle(
+    "monitoring_flow",
+    """SELECT batch AS batch_name, CAST(right(batch, 4) AS DOUBLE) AS intensity, n_drifted_columns, round(share, 6) AS dataset_drift_share,
+       CASE WHEN row_number() OVER (ORDER BY share DESC, batch) = 1 THEN share > 0.1 END AS should_retrain
+       FROM (SELECT batch, count(*) FILTER (WHERE drifted) AS n_drifted_columns, avg(CASE WHEN drifted THEN 1 ELSE 0 END) AS share FROM cols GROUP BY batch)""",
+    _SIDES,
+    _TRAIN,
+    *_sweep("train", _all([*SVC, "is_new_customer", "num_extra_services", ""]).rstrip(" ")),
+    _drift(
+        "train", "batches", "batch_name", ["tenure_in_months", "n_orders", "total_charges", "monthly_charge", "is_new_customer", "num_extra_services"], [*b.TEXT, *SVC]
+    ),
+    base=True,
+)
+oracle(
+    "reference_without_label",
+    "SELECT region, count(*) AS n, CAST(sum(num_extra_services) AS BIGINT) AS n_services, FALSE AS has_label FROM train GROUP BY region",
+    _SIDES,
+    _TRAIN,
+    base=True,
+)

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.functions.scalars import batch_name, merge_maps, prefix_keys, segment_label, yes_flag
-from retentia.operators import consistency, contract, decisions, drift, explain, features, metrics, preprocess, profile, registry, sampling, value
+from retentia.operators import consistency, contract, decisions, drift, drift_many, encoding, explain, features, metrics, preprocess, profile, registry, sampling, value
 from retentia.operators.metrics import OVERALL
 from retentia.plans import bindings as b
 from retentia.plans.customer360 import SERVICES, baseline_scores, customer360, customer360_table
+from retentia.session import scratch_path, written
 from retentia.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +90,19 @@ def contract_coercion(spark, folder):
     return contract.violations(text, declared)
 
 
+@query
+def coerce_fractions(spark, folder):
+    """Numbers as text declared as whole: a zero fraction fits, any other fraction is a violation, however small."""
+    lines = table(spark, folder, "lineitem")
+    text = lines.select(
+        F.concat(F.col("l_linenumber"), F.lit(".000")).alias("zero"),
+        F.concat(F.col("l_linenumber"), F.lit(".00000000000"), F.col("l_suppkey") % 3).alias("tiny"),
+        F.col("l_extendedprice").cast("string").alias("price"),
+        F.concat(F.col("l_quantity").cast("bigint"), F.lit("5e-1")).alias("exponent"),
+    )
+    return contract.violations(text, contract.Contract(tuple(contract.Field(n, "bigint", low=2) for n in text.columns)))
+
+
 @query
 def contract_duplicate_keys(spark, folder):
     return contract.duplicate_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -103,8 +118,8 @@ def scoring_request_errors(spark, folder):
 
 @query
 def unknown_values(spark, folder):
-    suppliers = table(spark, folder, "supplier").where("s_acctbal > 5000")
-    return contract.unknown_values(table(spark, folder, "customer"), "c_nationkey", suppliers, "s_nationkey")
+    """Customers that no order names, in rows per customer."""
+    return contract.unknown_values(table(spark, folder, "customer"), "c_custkey", table(spark, folder, "orders"), "o_custkey")
 
 
 @query
@@ -132,9 +147,8 @@ def profile_nunique(spark, folder):
 
 @query
 def profile_constant(spark, folder):
-    orders = table(spark, folder, "orders")
-    wide = orders.withColumns({"quarter": F.lit("Q3"), "country": F.lit("US")})
-    return profile.constant_columns(wide, ["o_orderstatus", "o_orderpriority", "o_custkey", "quarter", "country"])
+    """Every column of the orders, and two that are constant."""
+    return profile.constant_columns(table(spark, folder, "orders").withColumns({"quarter": F.lit("Q3"), "country": F.lit("US")}))
 
 
 @query
@@ -302,11 +316,20 @@ def bootstrap_batch(spark, folder):
 
 @query
 def bootstrap_lineitem_orders(spark, folder):
-    """As many draws as there are orders."""
-    orders = table(spark, folder, "orders").select("o_orderkey")
-    n = orders.count()
-    drawn = sampling.bootstrap(orders, "o_orderkey", n, seed=7)
-    return drawn.groupBy("o_orderkey").agg(F.count("*").alias("times")).groupBy("times").agg(F.count("*").alias("n_orders"))
+    """As many lines as there are orders, drawn by order key: how often orders are drawn."""
+    n = table(spark, folder, "orders").count()
+    drawn = sampling.bootstrap(table(spark, folder, "lineitem").select("l_orderkey"), "l_orderkey", n, seed=7)
+    return drawn.groupBy("l_orderkey").agg(F.count("*").alias("times")).groupBy("times").agg(F.count("*").alias("n_orders"))
+
+
+@query
+def bootstrap_repeated_keys(spark, folder):
+    """Whole lines drawn by a key that several of them share. A drawn line is one of its order's; ``known`` counts its equals among them."""
+    lines = table(spark, folder, "lineitem")
+    drawn = sampling.bootstrap(lines, "l_orderkey", 2000, seed=11)
+    equals = lines.groupBy(*lines.columns).agg(F.count("*").alias("n"))
+    found = drawn.join(equals, [F.equal_null(drawn[c], equals[c]) for c in lines.columns], "left")
+    return found.select("draw", drawn["l_orderkey"], (F.col("n") > 0).cast("int").alias("known"))
 
 
 @query
@@ -326,6 +349,14 @@ def categorical_reweight(spark, folder):
     return sampling.apply_drift(c, specs, 0.5, row=b.KEY)
 
 
+@query
+def reweight_many_levels(spark, folder):
+    """Half way from the customers that orders have to a target of three, one of them new: one level per customer."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    spec = sampling.CategoricalReweight({"7": 0.25, "100": 0.5, "99999999": 0.25})
+    return sampling.apply_drift(orders, {"o_custkey": spec}, 0.5, row="o_orderkey")
+
+
 def _sweep(spark, folder):
     reference = _features(spark, folder).select(b.KEY, *b.NUMERIC, *b.TEXT)
     return reference, sampling.drift_sweep(reference, b.KEY, b.BATCHES, "churn_label")
@@ -338,6 +369,31 @@ def drift_sweep(spark, folder):
     return rounded(out, tenure_in_months=6, monthly_charge=4)
 
 
+# ---- encoding and search ----------------------------------------------------------------------------
+
+
+@query
+def target_codes(spark, folder):
+    """Two text columns of the orders as codes, one of them with a level per customer: as training rows, and as rows to be scored."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer"), "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("y")
+    )
+    rule, columns = encoding.EncodingRule(), ["customer", "o_orderpriority"]
+    fold = encoding.row_fold(["o_orderkey"], rule)
+    state = written(encoding.target_state(orders, columns, "y", fold), "codes")
+    trained = encoding.with_target_codes(orders, state, columns, ["customer_code", "priority_code"], rule, fold)
+    both = encoding.with_target_codes(trained, state, columns, ["customer_score", "priority_score"], rule)
+    return rounded(both.select("o_orderkey", "customer_code", "priority_code", "customer_score", "priority_score"), customer_code=9, priority_code=9, customer_score=9, priority_score=9)
+
+
+@query
+def level_counts(spark, folder):
+    """Exact number of levels per text column."""
+    documents = table(spark, folder, "documents")
+    found = preprocess.level_counts(documents, ["lang", "source", "text"])
+    return spark.createDataFrame(sorted(found.items()), "column string, n bigint")
+
+
 # ---- drift ------------------------------------------------------------------------------------------
 
 
@@ -407,6 +463,30 @@ def drift_summary(spark, folder):
     return r6(drift.drift_summary(drift.sweep_drift(reference, batches, names, skip=[b.KEY])), "dataset_drift_share")
 
 
+def _customer_groups(spark, folder):
+    """Orders before 1998 as the reference, and the later ones in 500 batches by customer."""
+    reference, current = _eras(spark, folder)
+    columns = ["o_totalprice", "o_custkey", "o_orderpriority", "o_orderstatus"]
+    batch = F.format_string("group %03d", F.col("o_custkey") % 500)
+    return drift_many.reference_counts(reference.select(*columns)), current.select(*columns, batch.alias("batch"))
+
+
+@query
+def drift_many_batches(spark, folder):
+    """Drift of four columns in 500 batches, from one plan."""
+    counted, batches = _customer_groups(spark, folder)
+    return r6(drift_many.many_drift(counted, batches, "batch"), "score")
+
+
+@query
+def drift_ks_exact(spark, folder):
+    """The p-value test without approximation, named in the rule: early against late customers."""
+    c = _c360(spark, folder).select(*b.NUMERIC)
+    reference, current = c.where("tenure_in_months < 55"), c.where("tenure_in_months >= 55")
+    out = drift.column_drift(reference, current, drift.DriftRule(numeric_test="ks_exact"))
+    return out.select("column", "method", F.round("score", 6).alias("score"), "drifted")
+
+
 def _region_drift(spark, folder):
     """Monthly charges and contracts of each region against all customers, as one batch per region."""
     c = _c360(spark, folder).select("region", *b.NUMERIC, "segment", "contract", "payment_method", "internet_type")
@@ -483,50 +563,70 @@ def segment_metrics(spark, folder):
 # ---- decisions and registry -------------------------------------------------------------------------
 
 
-def _two_models(spark, folder):
-    c = _c360(spark, folder)
-    champion = metrics.evaluate(c, list(b.SEGMENTS))
-    challenger = metrics.evaluate(c, list(b.SEGMENTS), prediction="prediction_2", score="score_2")
-    return champion, challenger
+TWO_MODELS = {"recency": ("prediction", "score"), "volume": ("prediction_2", "score_2")}
+
+
+def _evaluated(spark, folder):
+    """Both scores, overall and by segment, from one pass over the customers."""
+    return metrics.evaluate_models(_c360(spark, folder), list(b.SEGMENTS), TWO_MODELS)
+
+
+def _decision(spark, folder, champion, challenger, rule):
+    out = decisions.decided(decisions.model_deltas(_evaluated(spark, folder), champion, challenger, rule.metric), rule)
+    deltas = F.transform(F.map_entries("regression_deltas"), lambda e: F.format_string("%s:%.6f", e["key"], e["value"]))
+    return r6(out.withColumns({"regressions": _joined("regressions"), "regression_deltas": _joined(deltas)}), "aggregate_margin")
 
 
 @query
 def segment_regressions(spark, folder):
     """The second score against the first, segments that lose more than the tolerance."""
-    challenger, champion = _two_models(spark, folder)
-    return r6(decisions.segment_regressions(champion, challenger, b.PROMOTION), "champion_value", "challenger_value", "delta")
+    deltas = decisions.model_deltas(_evaluated(spark, folder), "volume", "recency", b.PROMOTION.metric)
+    regressed = deltas.where((F.col("segment_column") != OVERALL) & (F.col("delta") < -b.PROMOTION.segment_tolerance))
+    return r6(regressed, "champion_value", "challenger_value", "delta")
 
 
 @query
 def promotion_decision(spark, folder):
-    champion, challenger = _two_models(spark, folder)
-    out = decisions.promotion_decision(champion, challenger, b.PROMOTION)
-    return r6(out.withColumn("regressions", _joined("regressions")), "aggregate_margin")
+    return _decision(spark, folder, "recency", "volume", b.PROMOTION)
 
 
 @query
 def promotion_blocked(spark, folder):
     """A permissive margin lets the segments decide."""
-    challenger, champion = _two_models(spark, folder)
-    rule = decisions.PromotionRule(margin=-1.0, segment_columns=b.SEGMENTS)
-    out = decisions.promotion_decision(champion, challenger, rule)
-    return r6(out.withColumn("regressions", _joined("regressions")), "aggregate_margin")
+    return _decision(spark, folder, "volume", "recency", decisions.PromotionRule(margin=-1.0, segment_columns=b.SEGMENTS))
+
+
+def _overall(spark, folder, *columns):
+    return _evaluated(spark, folder).where(F.col("segment_column") == OVERALL).select(F.col("model").alias("family"), *columns)
 
 
 @query
 def model_ranking(spark, folder):
-    champion, challenger = _two_models(spark, folder)
-    rows = champion.where(F.col("segment_column") == OVERALL).select(F.lit("recency").alias("family"), *metrics.METRICS)
-    rows = rows.unionByName(challenger.where(F.col("segment_column") == OVERALL).select(F.lit("volume").alias("family"), *metrics.METRICS))
-    return r6(decisions.rank_models(rows), *metrics.METRICS)
+    return r6(decisions.rank_models(_overall(spark, folder, *metrics.METRICS)), *metrics.METRICS)
 
 
 @query
 def best_model(spark, folder):
-    champion, challenger = _two_models(spark, folder)
-    rows = champion.where(F.col("segment_column") == OVERALL).select(F.lit("recency").alias("family"), "accuracy", "f1")
-    rows = rows.unionByName(challenger.where(F.col("segment_column") == OVERALL).select(F.lit("volume").alias("family"), "accuracy", "f1"))
-    return r6(decisions.best_model(rows, "accuracy"), "accuracy", "f1")
+    return r6(decisions.best_model(_overall(spark, folder, "accuracy", "f1"), "accuracy"), "accuracy", "f1")
+
+
+@query
+def registry_writers(spark, folder):
+    """Every nation registers a version of its region's model and moves the alias, four at a time: the numbers have no gap and no double."""
+    nations = table(spark, folder, "nation").join(table(spark, folder, "region"), F.expr("n_regionkey = r_regionkey")).select("r_name", "n_name").collect()
+    store = registry.Registry(spark, scratch_path(spark, "registry"))
+
+    def register(nation):
+        version = store.register(nation["r_name"], nation["n_name"], f"models/{nation['n_name']}")
+        store.promote(nation["r_name"], version)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(register, nations))
+    versions = store.versions().groupBy("model_name").agg(
+        F.count("*").alias("n_versions"), F.count_distinct("version").alias("n_numbers"), F.max("version").alias("latest"), F.count_distinct("run_id").alias("n_runs")
+    )
+    moves = store.aliases().groupBy("model_name").agg(F.count("*").alias("n_moves"), F.max("step").alias("last_step"))
+    return versions.join(moves, "model_name")
 
 
 def _version_log(spark, folder):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +24,29 @@ def local_session(app: str = "retentia", cores: int | str = 8, partitions: int =
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, for clusters and folders where it is not installed.
+
+    The archive goes through Spark's own file distribution, once per session.
+    """
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="retentia-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: what ``spark.checkpoint.dir`` names.
 
@@ -41,6 +63,18 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder by whatever file system its path names; a missing one is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables below the shared folder; frames that still read them fail from then on."""
+    for name in ("retentia", "retentia-llm"):
+        delete_path(spark, f"{shared_dir(spark)}/{name}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/retentia/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from retentia.operators.drift import DriftRule, column_drift, drift_summary
+from retentia.operators.drift import DriftRule, drift_summary
+from retentia.operators.drift_many import many_drift, reference_counts
 
 
 def monitor_stream(
@@ -16,15 +17,17 @@ def monitor_stream(
 ) -> StreamingQuery:
     """Compare every micro-batch with the reference and write its summary row to ``output``.
 
+    The reference is counted once, when the monitor starts; a micro-batch reads the stored counts.
     A micro-batch overwrites its own partition, so running one again after a failure leaves one row.
     The written summary is what the retrain decision reads, ordered by ``batch_id``.
     """
 
+    counted = reference_counts(reference, skip=skip)
+
     def measure(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        # The arrived rows are read once for counting; everything after that reads the counts.
-        detail = column_drift(reference, batch, rule, skip=skip, batch=f"batch_{batch_id:06d}")
+        detail = many_drift(counted, batch, F.lit(f"batch_{batch_id:06d}"), rule)
         drift_summary(detail, rule).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
 
     return stream.writeStream.foreachBatch(measure).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

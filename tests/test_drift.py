@@ -5,8 +5,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from retentia.functions.stats import _chi_square_tail
+from itertools import combinations
+
+from retentia.functions.stats import _chi_square_tail, _kolmogorov_exact, kolmogorov_tail
 from retentia.operators.drift import DriftRule, column_drift, drift_summary, sweep_drift
+from retentia.operators.drift_many import OTHER, many_drift, reference_counts
 
 
 def normal_frame(spark, n, mean=0.0, share=0.5, seed=0, extra=()):
@@ -109,3 +112,67 @@ def test_columns_and_batches_without_values(spark):
     empty = column_drift(reference, batch.limit(0))
     assert sorted((r["column"], r["drifted"]) for r in empty.collect()) == [("a", True), ("b", False), ("c", True), ("d", False), ("e", True)]
     assert drift_summary(empty).first()["n_columns"] == 5
+
+
+@pytest.mark.parametrize("n1, n2", [(1, 1), (1, 5), (4, 4), (3, 7), (5, 6), (2, 9)])
+def test_exact_ks_tail_against_every_order(n1, n2):
+    distances = []
+    for places in combinations(range(n1 + n2), n1):
+        i = j = 0
+        best = 0
+        for at in range(n1 + n2):
+            i, j = i + (at in places), j + (at not in places)
+            best = max(best, abs(i * n2 - j * n1))
+        distances.append(best)
+    for reach in sorted(set(distances)):
+        want = sum(d >= reach for d in distances) / len(distances)
+        for a, b in ((n1, n2), (n2, n1)):
+            assert _kolmogorov_exact(reach / (n1 * n2), a, b) == pytest.approx(want, rel=1e-12)
+    assert _kolmogorov_exact(0.0, n1, n2) == 1.0 and math.isnan(_kolmogorov_exact(0.5, 0, n2))
+
+
+def test_exact_and_asymptotic_ks_tails_agree_on_large_samples(spark):
+    frame = spark.createDataFrame([(0.02, 3000, 5000), (0.035, 3000, 5000), (0.05, 4000, 4000)], "d double, a bigint, b bigint")
+    for r in frame.select("d", "a", "b", kolmogorov_tail(F.col("d"), F.col("a"), F.col("b")).alias("p")).collect():
+        assert _kolmogorov_exact(r["d"], r["a"], r["b"]) == pytest.approx(r["p"], rel=0.1)
+
+
+def test_ks_tail_of_billions_of_rows_does_not_overflow(spark):
+    frame = spark.createDataFrame([(3e-5, 5 * 10**9, 4 * 10**9)], "d double, a bigint, b bigint")
+    p = frame.select(kolmogorov_tail(F.col("d"), F.col("a"), F.col("b"))).first()[0]
+    assert 0.03 < p < 0.05
+
+
+RULES = [DriftRule(), P_TESTS, DriftRule(numeric_test="ks_exact", text_test="chi_square"), DriftRule(numeric_test="jensen_shannon"), DriftRule(numeric_test="chi_square")]
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_many_batches_get_what_each_gets_alone(spark, rule):
+    """Batches of all sizes, values the reference lacks, columns without values: the same as one batch at a time."""
+    rng = random.Random(11)
+    reference = normal_frame(spark, 300, seed=5, extra=[(None, None, None), (0.5, "x", "a"), (float("nan"), "y", "b")]).withColumn("empty", F.lit(None).cast("double"))
+    data = []
+    for name, n, mean in (("one", 1, 0.0), ("near", 60, 0.1), ("far", 80, 3.0), ("below", 30, -9.0), ("ties", 40, None), ("blank", 5, "none")):
+        for _ in range(n):
+            num = None if mean == "none" else rng.choice([-1.0, 0.0, 0.5]) if mean is None else rng.gauss(mean, 1.0)
+            data.append((name, num, rng.choice("xy"), None if name == "blank" else rng.choice("abd" if name == "far" else "abc"), 1.0 if name == "far" else None))
+    batches = spark.createDataFrame([*data, (None, 1.0, "x", "a", None)], "batch string, num double, two string, three string, empty double")
+    got = {(r["batch"], r["column"]): r for r in many_drift(reference_counts(reference), batches, "batch", rule).collect()}
+    names = sorted({d[0] for d in data})
+    assert len(got) == len(names) * 4
+    for name in names:
+        alone = by_column(column_drift(reference, batches.where(F.col("batch") == name).drop("batch"), rule, batch=name))
+        for c, want in alone.items():
+            r = got[(name, c)]
+            assert (r["kind"], r["method"], r["threshold"], r["drifted"]) == (want["kind"], want["method"], want["threshold"], want["drifted"]), (name, c)
+            assert r["score"] == (None if want["score"] is None else pytest.approx(want["score"], abs=1e-9)), (name, c)
+
+
+def test_rare_levels_are_pooled(spark):
+    reference = spark.range(1000).select(F.when(F.col("id") < 800, "hot").when(F.col("id") < 950, "warm").otherwise(F.concat(F.lit("r"), F.col("id"))).alias("x"))
+    counted = reference_counts(reference, top_levels=2)
+    assert {r["txt"]: r["n_ref"] for r in counted.counts.collect()} == {"hot": 800, "warm": 150, OTHER: 50}
+    # New rare levels are no drift as long as they are as rare as before.
+    batch = spark.range(100).select(F.when(F.col("id") < 80, "hot").when(F.col("id") < 95, "warm").otherwise(F.concat(F.lit("n"), F.col("id"))).alias("x"))
+    assert not many_drift(counted, batch, F.lit("b")).first()["drifted"]
+    assert many_drift(reference_counts(reference), batch, F.lit("b"), DriftRule(text_test="chi_square")).first()["drifted"]

@@ -3,10 +3,11 @@ import random
 import numpy as np
 import pytest
 from helpers import customers, rows
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from retentia.operators import models, preprocess
+from retentia.operators import encoding, models, preprocess
 from retentia.operators.contract import CUSTOMER_CONTRACT, coerce
 from retentia.operators.explain import top_attributions, with_linear_explanation, with_tree_explanation
 from retentia.operators.features import FeatureSpec
@@ -61,10 +62,64 @@ def test_scaling_uses_the_population_deviation(spark):
     assert rows(imputed_and_scaled(df, ["x", "c"])) == [(-1.0, 0.0), (1.0, 0.0)]
 
 
-def test_wide_text_columns_are_refused(spark):
+def test_wide_text_columns_are_hashed_without_a_label(spark):
     df = spark.range(300).select(F.col("id").cast("string").alias("City"))
-    with pytest.raises(ValueError, match="too many levels"):
-        TableEncoder(textCols=["City"], maxLevels=50).fit(df)
+    model = TableEncoder(textCols=["City"], maxLevels=299, hashWidth=64).fit(df)
+    matrix = np.array([r[0] for r in model.transform(df).select(vector_to_array("features")).collect()])
+    assert matrix.shape == (300, 64) and (matrix.sum(axis=1) == 1).all() and len(encoded_features(model)) == 64
+    listed = TableEncoder(textCols=["City"], maxLevels=300, hashWidth=64).fit(df)  # counted exactly
+    assert len(encoded_features(listed)) == 300
+
+
+def codes_by_hand(data, rule):
+    """data: (level, label, fold). Codes of the training rows, and of any row that scores a level."""
+    total, prior = len(data), rule.prior_rows
+    inside = []
+    for level, _, fold in data:
+        rest = [(x, y) for x, y, f in data if f != fold]
+        mean = sum(y for _, y in rest) / len(rest) if rest else 0.0
+        own = [y for x, y in rest if x == level]
+        inside.append((sum(own) + prior * mean) / (len(own) + prior))
+    mean = sum(y for _, y, _ in data) / total
+    scored = {level: (sum(y for x, y, _ in data if x == level) + prior * mean) / (sum(x == level for x, _, _ in data) + prior) for level in {x for x, _, _ in data}}
+    return inside, scored, mean
+
+
+def test_target_codes_by_hand(spark):
+    rule = encoding.EncodingRule(folds=3, prior_rows=4.0)
+    rng = random.Random(2)
+    data = [(rng.choice(["a", "a", "a", "b", "c"]), rng.randint(0, 1), rng.randint(0, 2)) for _ in range(60)] + [("once", 1, 0)]
+    df = spark.createDataFrame([(i, None if x == "c" else x, y, f) for i, (x, y, f) in enumerate(data)], "id int, x string, y int, f int")
+    state = encoding.target_state(df, ["x"], "y", F.col("f"))
+    inside, scored, mean = codes_by_hand([("Missing" if x == "c" else x, y, f) for x, y, f in data], rule)
+    got = encoding.with_target_codes(df, state, ["x"], ["code"], rule, F.col("f")).orderBy("id").collect()
+    assert [r["code"] for r in got] == pytest.approx(inside)
+    asked = spark.createDataFrame([("a",), ("once",), (None,), ("new",)], "x string")
+    codes = {r["x"]: r["code"] for r in encoding.with_target_codes(asked, state, ["x"], ["code"], rule).collect()}
+    assert codes == {"a": pytest.approx(scored["a"]), "once": pytest.approx(scored["once"]), None: pytest.approx(scored["Missing"]), "new": pytest.approx(mean)}
+
+
+@pytest.mark.parametrize("family", ["boosted_trees", "native_categories"])
+def test_a_column_of_50_000_levels_trains_saves_and_scores(spark, tmp_path, family):
+    """Two thirds of the rows have a level of their own, the rest share levels that tell the label."""
+    hot = F.when(F.col("id") % 3 == 0, F.concat(F.lit("hot"), F.col("id") % 4)).otherwise(F.concat(F.lit("c"), F.col("id")))
+    df = spark.range(75_000).select("id", hot.alias("City"), (F.col("id") % 7).cast("double").alias("x"), ((F.col("id") % 4) < 2).cast("int").alias("y"))
+    model = models.fit_family(family, df, "y", {"n_estimators": 2, "max_depth": 2}, skip=["id"], high_cardinality=())
+    models_path = str(tmp_path / "model")
+    model.write().save(models_path)
+    loaded = PipelineModel.load(models_path)
+    asked = df.where("id % 3 = 0").limit(200).drop("y").unionByName(spark.createDataFrame([(-1, "unseen", 1.0), (-2, None, None)], "id bigint, City string, x double"))
+    one, two = models.score(model, asked), models.score(loaded, asked)
+    assert rows(one, "id", "churn_probability") == rows(two, "id", "churn_probability") and one.count() == 202
+    known = {r["id"]: r["churn_prediction"] for r in two.where("id >= 0").collect()}
+    assert all(known[i] == int(i % 4 < 2) for i in known)
+    assert [n for n, c, _ in encoded_features(model.stages[0]) if c == "City"] == ["categorical__City"]
+
+
+def test_names_with_quotes_are_encoded(spark):
+    df = spark.createDataFrame([(1.0, "a"), (None, None)], "`an odd` double, `it's` string")
+    model = TableEncoder(numericCols=["an odd"], textCols=["it's"]).fit(df)
+    assert [r[0] for r in model.transform(df).select(vector_to_array("features")).collect()] == [[1.0, 0.0, 1.0], [1.0, 1.0, 0.0]]
 
 
 def test_onehot_long(spark):

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from retentia.operators.sampling import (
     bootstrap,
     drift_spec,
     drift_sweep,
+    level_intervals,
+    quotas_of,
     row_index,
     stratified_folds,
     stratified_split,
@@ -88,10 +92,34 @@ def test_reweight_adds_new_levels_and_drops_nulls(spark):
     assert {r["x"] for r in out.collect()} == {"x", "z"}
 
 
-def test_too_many_levels_fail_loudly(spark):
-    df = spark.range(20).select(F.col("id").alias("draw"), F.col("id").cast("string").alias("x"))
-    with pytest.raises(Exception, match="more than 5 levels"):
-        apply_drift(df, {"x": CategoricalReweight({"1": 1.0}, max_levels=5)}, 0.5).collect()
+@pytest.mark.parametrize("intensity", [0.0, 0.4, 1.0])
+def test_reweight_of_many_levels_tiles_the_unit_interval(spark, intensity):
+    n = 3000
+    df = spark.range(n).select(F.col("id").alias("draw"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), F.col("id"))).otherwise("hot").alias("x"))
+    spec = CategoricalReweight({"hot": 0.2, "zz": 0.3, "v1": 0.5})
+    edges = level_intervals(df, "x", spec, [intensity])[0].select("level", "low", "high").distinct().orderBy("low").collect()
+    assert edges[0]["low"] == 0.0 and edges[-1]["high"] == 2.0 and all(a["high"] == b["low"] for a, b in zip(edges, edges[1:]))
+    now = {"hot": 1 / 3} | {f"v{i}": 1 / n for i in range(n) if i % 3}
+    want = {k: (1 - intensity) * now.get(k, 0) + intensity * spec.target.get(k, 0) for k in now | spec.target}
+    got = {r["level"]: min(r["high"], 1.0) - r["low"] for r in edges}
+    assert got.keys() == {k for k, w in want.items() if w > 0} and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got)
+    out = apply_drift(df, {"x": spec}, intensity)
+    assert out.count() == n and out.where("x IS NULL").count() == 0
+
+
+def test_reweight_without_values_or_weights(spark):
+    df = spark.range(5).select(F.col("id").alias("draw"), F.lit(None).cast("string").alias("x"))
+    assert {r["x"] for r in apply_drift(df, {"x": CategoricalReweight({"a": 1.0})}, 0.0).collect()} == {None}
+    assert {r["x"] for r in apply_drift(df, {"x": CategoricalReweight({"a": 1.0})}, 0.5).collect()} == {"a"}
+    assert apply_drift(df.limit(0), {"x": CategoricalReweight({"a": 1.0})}, 0.5).count() == 0
+
+
+def test_quotas_of_billions_of_rows_do_not_overflow(spark):
+    counts = spark.createDataFrame([("a", 5 * 10**9), ("b", 4 * 10**9 + 1), ("c", 3)], "y string, n bigint")
+    out = {r["y"]: r["n_train"] for r in quotas_of(counts, "y", 0.2).collect()}
+    total = 9 * 10**9 + 4
+    want = total - -(-total * 2 // 10)
+    assert sum(out.values()) == want and all(abs(out[k] - n * want / total) < 1 for k, n in {"a": 5 * 10**9, "b": 4 * 10**9 + 1, "c": 3}.items())
 
 
 def test_guards(spark):
@@ -123,6 +151,24 @@ def test_null_labels_are_a_class(spark):
     assert sorted((r["y"] is None, r["y"] or 0, r["n"]) for r in out.where("is_test = 1").groupBy("y").agg(F.count("*").alias("n")).collect()) == [(False, 0, 50), (False, 1, 100), (True, 0, 50)]
     sizes = stratified_folds(df, "y", "id").where("y is null").groupBy("fold").count().collect()
     assert sorted(r["count"] for r in sizes) == [50] * 5
-    repeated = spark.range(100).selectExpr("id % 50 as id")
-    with pytest.raises(Exception, match="repeated"):
-        bootstrap(repeated, "id", 100).collect()
+
+
+def test_bootstrap_of_repeated_and_null_keys(spark):
+    """One key holds a third of the rows, some rows are equal, some keys null: every row is drawn about as often as any other."""
+    parts = ["case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 20 end as k", "case when id % 5 = 0 then -1 else id end as v", "cast(null as string) as draw_note"]
+    df = spark.range(600).selectExpr(*parts)
+    drawn = bootstrap(df, "k", 6000, seed=3, slices=64)
+    assert drawn.columns == ["draw", "k", "v", "draw_note"]
+    out = drawn.collect()
+    assert sorted(r["draw"] for r in out) == list(range(6000))
+    there = Counter((r["k"], r["v"]) for r in df.collect())
+    got = Counter((r["k"], r["v"]) for r in out)
+    assert got.keys() <= there.keys()
+    # Ten draws are expected per row; five deviations of a Poisson count.
+    assert all(abs(got[k] - 10 * n) <= 5 * (10 * n) ** 0.5 + 1 for k, n in there.items())
+    assert rows(drawn, "draw", "v") == rows(bootstrap(df.repartition(5), "k", 6000, seed=3, slices=64), "draw", "v")
+    assert bootstrap(df.limit(0), "k", 10).count() == 0
+
+
+def test_bootstrap_of_one_row_repeated(spark):
+    assert bootstrap(spark.range(50).selectExpr("1 as k"), "k", 7).count() == 7
