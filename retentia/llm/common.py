@@ -15,6 +15,7 @@ from retentia.session import shared_dir
 ASCII_SPACE_WORD = r"[^\x20\x09-\x0D]+"
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_DEFAULT, BATCH_BYTES = "67108864b", "4194304b"
+HEAVY = 100_000  # rows of a key that a shuffled join takes out of its shuffle
 ASCII_LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -95,6 +96,19 @@ def numbered(rows: DataFrame, order: list[Column], name: str, table: str) -> Dat
     return stored.join(F.broadcast(starts), "_range").withColumn(name, (F.col("_before") + own + 1).cast("bigint")).select(*rows.columns, name)
 
 
+def matched(rows: DataFrame, keys: DataFrame, on: list[str], few: int, heavy: int = HEAVY) -> DataFrame:
+    """``rows`` joined with ``keys``, a stored table with one row per key and the number ``n_rows`` of rows that have it.
+
+    Up to ``few`` keys are broadcast. Of more, those of ``heavy`` rows or more are: there is at most one per ``heavy`` rows of the
+    table. All other keys bring a bounded number of rows to a task.
+    """
+    if keys.count() <= few:
+        return rows.join(F.broadcast(keys.drop("n_rows")), on)
+    many, light = (keys.where(c).drop("n_rows") for c in (F.col("n_rows") >= heavy, F.col("n_rows") < heavy))
+    rest = rows.join(F.broadcast(many.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(many), on).unionByName(rest.join(light, on))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

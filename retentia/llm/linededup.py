@@ -8,13 +8,18 @@ are unions of such runs. Blank lines at the ends of a run belong to it as far as
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import written
+from retentia.llm.common import bounded_batches, matched, releasing, written
 
+FEW = 500_000  # runs that may be broadcast; above, the same join is shuffled
 BLANK = 1 << 60  # larger than any line's hash
 
 
@@ -75,29 +80,42 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", sett
         F.struct(F.col("key").isNull().alias("late"), "key", "text_hash", "first").alias("place"),
         F.struct((F.col("first") + F.least("edge", F.lit(0))).alias("first"), (F.col("last") + F.greatest("edge", F.lit(0))).alias("last")).alias("run"),
     )
-    marks = marks.repartition("mark", "second")
-    owners = marks.groupBy("mark", "second").agg(F.min("place").alias("owner"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
-    later = marks.join(owners, ["mark", "second"]).where(F.col("place") != F.col("owner"))
+    marks = written(marks, "line-marks")
+    # Counted per task first, so a frequent run is no more than a row per task.
+    owners = marks.groupBy("mark", "second").agg(F.min("place").alias("owner"), F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
+    later = matched(marks, written(owners, "line-owners"), ["mark", "second"], FEW).where(F.col("place") != F.col("owner"))
     return later.groupBy("place.key", "place.text_hash").agg(F.collect_set("run").alias("runs"))
 
 
+def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A text's lines outside its runs; the work grows with lines and runs, not with their product."""
+    for batch in batches:
+        kept, counts = [], np.zeros((2, batch.num_rows), np.int64)  # lines, removed lines
+        for i, (text, runs) in enumerate(zip(batch.column("text").to_pylist(), batch.column("runs"))):
+            if text is None or not runs.is_valid:
+                kept.append(text)
+                counts[0, i] = 0 if text is None else text.count("\n") + 1
+                continue
+            lines = text.split("\n")
+            edges = np.zeros(len(lines) + 1, np.int64)
+            np.add.at(edges, runs.values.field("first").to_numpy(), 1)
+            np.add.at(edges, runs.values.field("last").to_numpy() + 1, -1)
+            stays = np.cumsum(edges)[:-1] == 0
+            kept.append("\n".join(compress(lines, stays.tolist())))
+            counts[:, i] = len(lines), len(lines) - int(stays.sum())
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string()), *map(pa.array, counts)], ["row", "kept", "n_lines", "n_removed"])
+
+
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: LineSettings = LineSettings()) -> DataFrame:
     """All columns of ``docs`` in ``row``, with ``kept`` (the text without the later repeated runs), ``n_lines`` and ``n_removed``.
 
-    Null texts stay null and have no lines; blank lines go only inside a deleted run. Rows that repeat key and text
-    are one document and get the same result. An empty table gives an empty result.
+    Null texts stay null and have no lines; blank lines go only inside a deleted run. Texts and lines of any length are read whole. Rows that repeat key
+    and text are one document and get the same result. An empty table gives an empty result, and other columns may have any name.
     """
+    bounded_batches(docs.sparkSession)
     runs = written(repeated_runs(docs, key, text, settings), "line-runs")
-    runs = runs.select(F.col("key").alias("_key"), F.col("text_hash").alias("_hash"), F.col("runs").alias("_runs"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("_own"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_text"), F.col(text).alias("_body"))
-    joined = rows.join(runs, F.col("_own").eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_hash")), "left")
-    lines = _lines(F.col("_body"))
-    inside = lambda i: F.coalesce(F.exists(F.col("_runs"), lambda r: (r["first"] <= i) & (i <= r["last"])), F.lit(False))
-    kept = F.filter(lines, lambda x, i: ~inside(i))
-    known = F.col("_body").isNotNull()
-    return joined.select(
-        "row",
-        F.when(known, F.array_join(kept, "\n")).alias("kept"),
-        F.when(known, F.size(lines)).otherwise(0).cast("bigint").alias("n_lines"),
-        F.when(known, F.size(lines) - F.size(kept)).otherwise(0).cast("bigint").alias("n_removed"),
-    )
+    runs = runs.select(F.col("key").alias("_key"), F.col("text_hash").alias("_hash"), "runs")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("_own"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_text"), F.col(text).alias("text"))
+    joined = rows.join(runs, F.col("_own").eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_hash")), "left").select("row", "text", "runs")
+    kind = joined.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(releasing(_kept_rows), f"row {kind}, kept string, n_lines long, n_removed long")

@@ -65,6 +65,7 @@ def mix_counts(
 ) -> DataFrame:
     """(key, size, source_size, target, copies, *keep): how often the mix takes each document.
 
+    A column of ``keep`` that has the name of another result column, the key among them, is returned as ``kept_<name>``. Texts of any length count in full.
     Size is the number of words. Null texts have size 0; a source that is null counts as one more source, the
     last. Repeated rows are documents of their own; ties in size stand in order of a hash of the key. No
     document is taken more than ``cap`` times. The same rows give the same mix whatever the partitioning. A
@@ -92,13 +93,14 @@ def mix_counts(
     start = F.pmod(draw(seed, "offset", F.col("_part")), F.lit(OFFSET_STEPS)).cast("double") / OFFSET_STEPS
     placed = placed.withColumn("_rank", rank).withColumn("_rate", rate).withColumn("_start", start)
     crossed = F.floor(F.col("_start") + F.col("_rank") * F.col("_rate")) - F.floor(F.col("_start") + (F.col("_rank") - 1) * F.col("_rate"))
+    taken = {key.lower(), "size", "source_size", "target", "copies"}
     return placed.select(
         F.col("_key").alias(key),
         F.col("_size").alias("size"),
         "source_size",
         "target",
         F.least(crossed, F.lit(cap)).cast("bigint").alias("copies"),
-        *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)],
+        *[F.col(f"_keep{i}").alias(f"kept_{c}" if c.lower() in taken else c) for i, c in enumerate(keep)],
     )
 
 

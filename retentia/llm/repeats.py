@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, written
+from retentia.llm.common import bounded_batches, matched, written
 from retentia.llm.texthash import BASE, U, byte_codes, inverse, mixed, powers
 
 LENGTH = 400
@@ -172,8 +172,9 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _several(rows: DataFrame, keys: list[str], place: Column) -> DataFrame:
-    """Per key whether it has two places or more."""
-    return rows.groupBy(*keys).agg((F.min(place) != F.max(place)).alias("several"))
+    """The keys that have two places or more, with their number of rows."""
+    counts = rows.groupBy(*keys).agg((F.min(place) != F.max(place)).alias("several"), F.count(F.lit(1)).alias("n_rows"))
+    return counts.where("several").drop("several")
 
 
 def _texts(base: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -192,21 +193,22 @@ def repeated_spans(base: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         raise ValueError("a gram is longer than a cell and much shorter than the strings")
     long = base.where(F.octet_length("text") >= length)
     anchors = written(long.mapInArrow(_anchor_rows(length, gram), "digest binary, place int, first int, last int, key long"), "anchors")
-    repeated = _several(anchors, ["key"], F.xxhash64("digest", "place")).where("several").select("key")
-    candidates = anchors.join(repeated, "key").groupBy("digest").agg(F.collect_set(F.struct("place", "first", "last")).alias("anchors"))
+    repeated = written(_several(anchors, ["key"], F.xxhash64("digest", "place")), "repeated")
+    candidates = matched(anchors, repeated, ["key"], FEW).groupBy("digest").agg(F.collect_set(F.struct("place", "first", "last")).alias("anchors"))
     candidates = written(candidates, "candidates")
     cells = _texts(long, candidates).mapInArrow(_cell_rows(length), "digest binary, core long, span long, at int, start int, end int")
     cells = written(cells, "cells")
 
-    cores = _several(cells, ["core"], F.xxhash64("digest", "at")).where("several").select("core")
-    likely = written(cells.join(cores, "core").drop("at"), "likely")
+    cores = written(_several(cells, ["core"], F.xxhash64("digest", "at")), "cores")
+    likely = written(matched(cells, cores, ["core"], FEW).drop("at"), "likely")
     place = F.xxhash64("digest", "start")
     spans = likely.groupBy("core", "span").agg(
         (F.min(place) != F.max(place)).alias("several"),
         F.min(F.struct("digest", "start", "end")).alias("one"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
     spans = written(spans, "spans")
-    sure = likely.join(spans.where("several"), ["core", "span"]).select("digest", "start", (F.col("end") + length).alias("end"))
+    sure = matched(likely, spans.where("several").select("core", "span", "n_rows"), ["core", "span"], FEW).select("digest", "start", (F.col("end") + length).alias("end"))
 
     # Cells whose bytes are unique as a whole: their windows, against one example of every other cell of the core.
     open_cores = spans.groupBy("core").agg(F.max(~F.col("several")).alias("open"), F.count(F.lit(1)).alias("n")).where(F.col("open") & (F.col("n") > 1)).select("core")

@@ -24,14 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import bounded_batches, releasing, written
+from retentia.llm.common import bounded_batches, matched, releasing, written
 from retentia.llm.texthash import SPACE, U, WordHasher, byte_codes, shingle_hashes
 
 PIECE = 1 << 20  # window starts of a text handled at once
 BITS = U(24)  # of a place within a piece
 ROWS = 4096  # packed strings of a text sent at once
-FEW = 500_000  # keys or stretches that may be broadcast; above, the same joins are shuffled
-HEAVY = 100_000  # rows of a key that a shuffled join takes out of its shuffle
+FEW = 1_000_000  # keys or stretches that may be broadcast; above, the same joins are shuffled
 
 
 @dataclass(frozen=True)
@@ -137,58 +136,62 @@ def _window_rows(settings: WindowSettings):
     return run
 
 
+def _span_rows(settings: WindowSettings):
+    """The marked windows of a text as spans of words. Bit i of a run's marks stands for the window at word first + i."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts, ends, sizes = [], [], []
+            for runs in batch.column("runs"):
+                first, marks = (runs.values.field(c).to_numpy() for c in ("first", "marks"))
+                hits = [first[(marks >> at) & 1 == 1] + at for at in range(settings.length - settings.gram + 1)]
+                begin = np.unique(np.concatenate(hits))
+                new = np.flatnonzero(np.append(True, begin[1:] > begin[:-1] + settings.length))
+                starts.append(begin[new])
+                ends.append(begin[np.append(new[1:], len(begin)) - 1] + settings.length)
+                sizes.append(len(new))
+            fields = [pa.array(np.concatenate(x) if x else [], pa.int32()) for x in (starts, ends)]
+            spans = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.StructArray.from_arrays(fields, ["start", "end"]))
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), spans], ["digest", "spans"])
+
+    return run
+
+
 def _kept_rows(settings: WindowSettings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, counts = [], np.zeros((3, batch.num_rows), np.int64)  # words, removed words, spans
-            for i, (text, runs, copy) in enumerate(zip(batch.column("text"), batch.column("runs"), batch.column("copy"))):
+            for i, (text, spans, copy) in enumerate(zip(batch.column("text"), batch.column("spans"), batch.column("copy"))):
                 raw = text.as_buffer().to_pybytes()
                 start, end = _Words.places(np.frombuffer(raw, np.uint8))
                 edges = np.zeros(len(start) + 1, np.int64)
                 if copy.as_py() and len(start) >= settings.length:
                     edges[[0, -1]] += (1, -1)
-                if runs.is_valid:
-                    first, marks = (runs.values.field(c).to_numpy() for c in ("first", "marks"))
-                    for at in range(int(marks.max()).bit_length()):
-                        hit = first[(marks >> at) & 1 == 1] + at
-                        np.add.at(edges, hit, 1)
-                        np.add.at(edges, hit + settings.length, -1)
+                if spans.is_valid:
+                    edges[spans.values.field("start").to_numpy()] += 1
+                    edges[spans.values.field("end").to_numpy()] -= 1
                 gone = np.cumsum(edges)[:-1] > 0
                 turns = np.flatnonzero(np.diff(gone.view(np.int8), prepend=np.int8(1), append=np.int8(1)))  # kept stretches start and end here
                 stretches = zip(start[turns[::2]].tolist(), end[turns[1::2] - 1].tolist())
                 kept.append(b" ".join(b" ".join(raw[a:b].split()) for a, b in stretches))
-                spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
-                counts[:, i] = len(start), int(gone.sum()), spans
+                counts[:, i] = len(start), int(gone.sum()), int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.binary()), *map(pa.array, counts)], ["row", "kept", "n_words", "n_removed", "n_spans"])
 
     return run
 
 
-def _matched(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """``rows`` joined with ``keys``, a stored table with one row per key and the number ``n_rows`` of rows that have it.
-
-    Few keys are broadcast. Of more, those of ``HEAVY`` rows or more are: there is at most one per ``HEAVY`` rows of the table. All
-    other keys bring a bounded number of rows to a task.
-    """
-    if keys.count() <= FEW:
-        return rows.join(F.broadcast(keys.drop("n_rows")), on)
-    heavy, light = (keys.where(c).drop("n_rows") for c in (F.col("n_rows") >= HEAVY, F.col("n_rows") < HEAVY))
-    rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
-    return rows.join(F.broadcast(heavy), on).unionByName(rest.join(light, on))
-
-
 def repeated_windows(base: DataFrame, owners: DataFrame, settings: WindowSettings = WindowSettings()) -> DataFrame:
-    """(digest, runs): per text its super-k-mers with windows that stand in an earlier text too, as an array of (first, marks).
+    """(digest, spans): the words of each text that windows cover which also start in a document before the text's first one.
 
-    Bit i of ``marks`` says that the window at word first + i also starts in a document before the text's first one. ``base`` has
-    (digest, text as bytes), equal digests are equal texts, and ``owners`` names the first document of each as (digest, owner).
+    Spans are apart from each other and in order; only texts that have any are listed. ``base`` has (digest, text as bytes), equal
+    digests are equal texts, and ``owners`` names the first document of each as (digest, owner).
     """
     rows = base.mapInArrow(releasing(_minimiser_rows(settings)), "digest binary, minimiser long, first int, n int")
     found = written(rows, "minimisers")
     text_of = F.xxhash64("digest")
     several = found.groupBy("minimiser").agg(F.min(text_of).alias("a"), F.max(text_of).alias("b"), F.count(F.lit(1)).alias("n_rows"))
     shared = written(several.where(F.col("a") != F.col("b")).select("minimiser", "n_rows"), "shared-minimisers")
-    runs = _matched(found, shared, ["minimiser"]).groupBy("digest").agg(F.collect_set(F.struct("first", "n", "minimiser")).alias("runs"))
+    runs = matched(found, shared, ["minimiser"], FEW).groupBy("digest").agg(F.collect_set(F.struct("first", "n", "minimiser")).alias("runs"))
     runs = written(runs, "runs")
 
     ids = runs.select("digest")
@@ -203,21 +206,22 @@ def repeated_windows(base: DataFrame, owners: DataFrame, settings: WindowSetting
     bodies = packed.groupBy("string", "second").agg(F.min(F.struct("minimiser", "packed")).alias("body"))
     strings = written(strings.join(bodies, ["string", "second"]).select("string", "second", "owner", "n_rows", "body.*"), "strings")
     crowded = strings.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
-    crowded = _matched(strings.drop("n_rows"), written(crowded, "crowded"), ["minimiser"])
+    crowded = matched(strings.drop("n_rows"), written(crowded, "crowded"), ["minimiser"], FEW)
     kind = strings.schema["owner"].dataType.simpleString()
     windows = crowded.mapInArrow(releasing(_window_rows(settings)), f"string long, second long, owner {kind}, at int, window long, other long")
     windows = written(windows, "windows")
     groups = windows.groupBy("window", "other").agg(F.min("owner").alias("earliest"), F.max("owner").alias("latest"), F.count(F.lit(1)).alias("n_rows"))
     groups = written(groups.where(F.col("earliest") < F.col("latest")).drop("latest"), "window-groups")
-    later = _matched(windows, groups, ["window", "other"]).where(F.col("owner") > F.col("earliest"))
+    later = matched(windows, groups, ["window", "other"], FEW).where(F.col("owner") > F.col("earliest"))
     marks = later.groupBy("string", "second").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("marks"))
     verdicts = strings.select("string", "second", F.col("owner").alias("earliest"), "n_rows").join(marks, ["string", "second"], "left")
     verdicts = written(verdicts.where((F.col("n_rows") > 1) | F.col("marks").isNotNull()), "verdicts")
 
-    judged = _matched(owned, verdicts, ["string", "second"])
+    judged = matched(owned, verdicts, ["string", "second"], FEW)
     every = F.expr("shiftleft(1L, n) - 1")
     judged = judged.withColumn("marks", F.when(F.col("owner") > F.col("earliest"), every).otherwise(F.col("marks"))).where("marks IS NOT NULL")
-    return judged.groupBy("digest").agg(F.collect_list(F.struct("first", "marks")).alias("runs"))
+    gathered = judged.groupBy("digest").agg(F.collect_list(F.struct("first", "marks")).alias("runs"))
+    return gathered.mapInArrow(releasing(_span_rows(settings)), "digest binary, spans array<struct<start:int,end:int>>")
 
 
 def remove_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: WindowSettings = WindowSettings()) -> DataFrame:
@@ -234,12 +238,12 @@ def remove_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "t
     place = F.struct(F.col(key).isNull().alias("late"), F.col(key).alias("key"))
     places = docs.select(digest.alias("digest"), place.alias("place")).groupBy("digest")
     owners = written(places.agg(F.min("place").alias("owner"), F.max("place").alias("last")), "owners")
-    runs = written(repeated_windows(docs.select(digest.alias("digest"), body.alias("text")), owners.drop("last"), settings), "repeated-windows")
+    spans = written(repeated_windows(docs.select(digest.alias("digest"), body.alias("text")), owners.drop("last"), settings), "repeated-windows")
     copied = owners.where(F.col("owner") < F.col("last")).drop("last")
-    found = written(copied.join(runs, "digest", "full"), "found").withColumnRenamed("digest", "_digest")
-    weight = found.agg(F.sum(F.coalesce(F.size("runs"), F.lit(0)) + 1)).first()[0] or 0
+    found = written(copied.join(spans, "digest", "full"), "found").withColumnRenamed("digest", "_digest")
+    weight = found.agg(F.sum(F.coalesce(F.size("spans"), F.lit(0)) + 1)).first()[0] or 0
     rows = docs.select(F.struct("*").alias("row"), digest.alias("_own"), place.alias("place"), body.alias("text"))
     joined = rows.join(F.broadcast(found) if weight <= FEW else found, F.col("_own") == F.col("_digest"), "left")
-    joined = joined.select("row", "text", "runs", F.coalesce(F.col("place") > F.col("owner"), F.lit(False)).alias("copy"))
+    joined = joined.select("row", "text", "spans", F.coalesce(F.col("place") > F.col("owner"), F.lit(False)).alias("copy"))
     kind = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(releasing(_kept_rows(settings)), f"row {kind}, kept binary, n_words long, n_removed long, n_spans long")

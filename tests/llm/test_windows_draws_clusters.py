@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retentia.llm import centroids, resampling, wordwindows
-from retentia.llm.common import numbered
+from retentia.llm.common import matched, numbered
 
 CLASHING = "doc_id long, text string, row int, place int, digest string, kept string, score double, rank int, n_words int, runs int, copy int"
 
@@ -93,7 +93,7 @@ def test_windows_across_the_pieces_of_long_texts(spark, monkeypatch):
 def test_windows_by_shuffle_and_by_broadcast(spark, monkeypatch, few):
     """A passage in most documents, between words of their own: one bucket holds them all."""
     monkeypatch.setattr(wordwindows, "FEW", few)
-    monkeypatch.setattr(wordwindows, "HEAVY", 100)
+    monkeypatch.setattr(wordwindows, "matched", lambda rows, keys, on, few: matched(rows, keys, on, few, heavy=100))
     passage = words(3, 60)
     texts = [(i, " ".join(words(i, 10) + (passage if i % 3 else words(1000 + i, 60)) + words(i + 500, 10))) for i in range(400)]
     assert sorted(removed(clashing(spark, texts))) == kept_by_brute_force(texts, 50)
