@@ -158,4 +158,4 @@ def encoded_customers(spark, folder):
     model = TableEncoder(numericCols=list(b.NUMERIC), textCols=list(b.TEXT)).fit(c)
     names = F.array(*[F.lit(n) for n, _, _ in encoded_features(model)])
     entries = F.explode(F.map_from_arrays(names, vector_to_array(FEATURES))).alias("feature", "value")
-    return r6(model.transform(c).select(b.KEY, entries).where(F.col("value") != 0), "value")
+    return model.transform(c).select(b.KEY, entries).where(F.col("value") != 0)

@@ -140,7 +140,7 @@ def score_batch(spark, folder):
         (F.col("churn_prediction") == (p >= 0.5).cast("int")).alias("class_fits"),
         "model_version",
         "remaining_months",
-        F.round("value_at_risk", 4).alias("value_at_risk"),
+        "value_at_risk",
         (F.abs(F.col("expected_loss") - p * F.col("value_at_risk")) < 1e-6).alias("loss_fits"),
         ((F.abs(F.col("net_benefit") - F.col("expected_loss") + 50_000.0) < 1e-6) & (F.col("worth_retaining") == (F.col("net_benefit") > 0))).alias("benefit_fits"),
     )

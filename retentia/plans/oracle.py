@@ -877,7 +877,7 @@ oracle(
 oracle(
     "encoded_customers",
     " UNION ALL ".join(
-        [f"SELECT customer_id, 'numeric__{c}' AS feature, round(CAST({c} AS DOUBLE), 6) AS value FROM scored WHERE {c} <> 0" for c in b.NUMERIC]
+        [f"SELECT customer_id, 'numeric__{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM scored WHERE {c} <> 0" for c in b.NUMERIC]
         + [f"SELECT customer_id, 'categorical__{c}_' || coalesce({c}, 'Missing'), 1.0::DOUBLE FROM scored" for c in b.TEXT]
     ),
     base=True,
@@ -910,7 +910,7 @@ oracle(
 )
 oracle(
     "score_batch",
-    """SELECT customer_id, TRUE AS is_probability, TRUE AS class_fits, '1' AS model_version, remaining_months, round(value_at_risk, 4) AS value_at_risk,
+    """SELECT customer_id, TRUE AS is_probability, TRUE AS class_fits, '1' AS model_version, remaining_months, value_at_risk,
        TRUE AS loss_fits, TRUE AS benefit_fits FROM valued""",
     _VALUED,
     base=True,
