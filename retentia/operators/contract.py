@@ -76,10 +76,18 @@ def check_columns(df: DataFrame, contract: Contract) -> None:
         raise ContractViolation(f"missing columns {missing}, unexpected columns {extra}")
 
 
-def _typed(field: Field) -> Column:
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _typed(field: Field, kind: str | None = None) -> Column:
+    """The column in its declared type, null where a value does not fit; ``kind`` is the type it has now, if known."""
     raw = F.col(f"`{field.name}`")
+    if kind == field.type:
+        return raw
     if field.type != "bigint":
         return raw.try_cast(field.type)
+    if kind in INTEGERS:
+        return raw.cast("bigint")
     # A whole number may be written with a zero fraction, as a column that once held gaps is, or with an exponent. The text's own
     # digits decide: a cast would round a fraction away. Most values pass the plain cast and go no further.
     text = raw.cast("string")
@@ -91,16 +99,18 @@ def _typed(field: Field) -> Column:
 
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:
     """Columns in contract order and type; values that do not fit become null."""
-    return df.select(*[_typed(f).alias(f.name) for f in contract.fields])
+    kinds = dict(df.dtypes)
+    return df.select(*[_typed(f, kinds.get(f.name)).alias(f.name) for f in contract.fields])
 
 
-def row_rules(contract: Contract) -> list[tuple[str, str, Column]]:
-    """(rule, column, "is violated") for every rule that one row can break."""
-    rules = []
+def row_rules(contract: Contract, df: DataFrame) -> list[tuple[str, str, Column]]:
+    """(rule, column, "is violated") for every rule that one row of ``df`` can break."""
+    rules, kinds = [], dict(df.dtypes)
     for f in contract.fields:
-        raw, typed = F.col(f"`{f.name}`"), _typed(f)
+        raw, typed = F.col(f"`{f.name}`"), _typed(f, kinds.get(f.name))
         if f.type != "string":
-            rules.append(("type", f.name, raw.isNotNull() & typed.isNull()))
+            fits = kinds.get(f.name) == f.type
+            rules.append(("type", f.name, F.lit(False) if fits else raw.isNotNull() & typed.isNull()))
         if not f.nullable:
             rules.append(("not_null", f.name, raw.isNull()))
         if f.allowed:
@@ -118,18 +128,18 @@ def with_errors(df: DataFrame, contract: Contract, column: str = "errors") -> Da
     Built from text because ``concat_ws`` skips nulls; a higher-order filter over that many rules
     takes the optimizer minutes.
     """
-    marks = [F.when(bad, F.lit(f"{rule}:{name}")) for rule, name, bad in row_rules(contract)]
+    marks = [F.when(bad, F.lit(f"{rule}:{name}")) for rule, name, bad in row_rules(contract, df)]
     return df.withColumn(column, F.array_remove(F.split(F.concat_ws("\n", *marks), "\n"), ""))
 
 
-def is_broken(contract: Contract) -> Column:
-    """True for a row that breaks any rule."""
-    return F.coalesce(any_of([bad for _, _, bad in row_rules(contract)]), F.lit(False))
+def is_broken(contract: Contract, df: DataFrame) -> Column:
+    """True for a row of ``df`` that breaks any rule."""
+    return F.coalesce(any_of([bad for _, _, bad in row_rules(contract, df)]), F.lit(False))
 
 
 def quarantine(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """(clean rows in contract type, broken rows with their errors)."""
-    broken = is_broken(contract)
+    broken = is_broken(contract, df)
     return coerce(df.where(~broken), contract), with_errors(df.where(broken), contract)
 
 
@@ -143,7 +153,7 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
 
     All row rules are counted in one aggregation that shuffles one row per task.
     """
-    rules = row_rules(contract)
+    rules = row_rules(contract, df)
     row = df.agg(*[F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(rules)])
     entries = [
         F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("column"), F.col(f"v{i}").alias("n_violations"))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from retentia.functions.quantiles import clean, selected_quantiles
 from retentia.functions.scalars import missing, yes_flag
+from retentia.session import written
 
 
 def _is_float(df: DataFrame, column: str) -> bool:
@@ -108,8 +109,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30, by: Sequenc
         "_n",
     )
     place = F.floor((F.col("value") - F.col("_lo")) / F.col("_width"))
-    # Without `by` there is one span per column of the schema.
-    ranged = rows.join(spans if by else F.broadcast(spans), keys)
+    # Stored spans: joined by their real size, and a group that most rows share is split by the adaptive join.
+    ranged = rows.join(written(spans, "spans"), keys)
     binned = ranged.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("bigint"))
     grouped = binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"), F.max("_lo").alias("_lo"), F.max("_width").alias("_width"), F.max("_n").alias("_n"))
     return grouped.select(

@@ -7,19 +7,26 @@ are never shuffled for it.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
+from hashlib import md5
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from retentia.functions.hashing import hash_bucket, hash_key, uniform
-from retentia.functions.ordered import holding, running_sums, with_range
+from retentia.functions.hashing import HASH_BITS, hash_bucket, hash_key, uniform
+from retentia.functions.ordered import holding, running_sums
 from retentia.functions.scalars import batch_name, lower_clip
 from retentia.session import written
 
 DEFAULT_SLICES = 4096
 BOOTSTRAP_SLICES = 1 << 14
+FEW_DRAWS = 100_000  # draws that are dealt to their slices on the driver
+FEW_LEVELS = 10_000  # levels whose shares are summed up on the driver; the sums of more are spread over ranges
 MOST_BLOCKS = 1 << 20  # of a reweight's intervals
 
 
@@ -132,6 +139,11 @@ def row_index(df: DataFrame, key: str, slices: int = DEFAULT_SLICES) -> DataFram
     return numbered.select(key, (F.col("offset") + F.col("place")).cast("bigint").alias("row_index"))
 
 
+def drawn_place(seed: int, draw: int, total: int) -> int:
+    """The place of a draw among ``total`` rows: what ``hash_key`` gives for it, modulo the rows."""
+    return int(md5(f"{seed}:draw:{draw}".encode()).hexdigest()[: HASH_BITS // 4], 16) % total
+
+
 def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42, slices: int = BOOTSTRAP_SLICES) -> DataFrame:
     """Exactly ``n`` rows drawn with replacement, with their draw number in ``draw``; any row may be drawn any number of times.
 
@@ -143,27 +155,32 @@ def bootstrap(df: DataFrame, key: str, n: int, seed: int = 42, slices: int = BOO
     spark = df.sparkSession
     keyed = df.select(hash_key(0, "row", key).alias("h"), F.col(key).alias("k")).withColumn("slice", hash_bucket("h", slices))
     sizes = {r["slice"]: r["n"] for r in keyed.groupBy("slice").agg(F.count("*").alias("n")).collect()}  # at most `slices` rows
-    total, starts = 0, []
-    for s in sorted(sizes):
-        starts.append((s, total))
-        total += sizes[s]
+    held = sorted(sizes)
+    starts = [0, *accumulate(sizes[s] for s in held)]
+    total = starts[-1]
     if not total:
         return df.limit(0).select(F.lit(None).cast("bigint").alias("draw"), "*")
-    offsets = spark.createDataFrame(starts, "slice bigint, offset bigint")
-    draws = spark.range(n).select(F.col("id").alias("draw"), F.pmod(hash_key(seed, "draw", "id"), F.lit(total)).alias("place"))
-
-    # Which slices hold a draw: the offsets are cuts of the places.
-    cuts = offsets.agg(F.array_sort(F.collect_list("offset"))).scalar()
-    held = with_range(draws.withColumn("_cuts", cuts), "place", "_cuts", 2 * slices, "_nth").select(F.col("_nth").alias("nth")).distinct()
-    by_place = spark.createDataFrame([(i + 1, s, o) for i, (s, o) in enumerate(starts)], "nth int, slice bigint, offset bigint")
-    hit = by_place.join(F.broadcast(held), "nth").select("slice", "offset")
 
     # Equal keys are one entry with a count; an entry's first place is its slice's offset plus the rows before it.
-    entries = keyed.join(F.broadcast(hit), "slice").groupBy("slice", "offset", "h", "k").agg(F.count("*").alias("n"))
+    few = n <= FEW_DRAWS
+    if few:  # the draws are known here, so only their slices are numbered; more draws than that meet all slices
+        places = [(i, drawn_place(seed, i, total)) for i in range(n)]
+        dealt = [(i, p, bisect_right(starts, p) - 1) for i, p in places]
+        draws = spark.createDataFrame([(i, p, held[at]) for i, p, at in dealt], "draw bigint, place bigint, slice bigint")
+        offsets = [(held[at], starts[at]) for at in sorted({at for _, _, at in dealt})]
+    else:
+        draws = spark.range(n).select(F.col("id").alias("draw"), F.pmod(hash_key(seed, "draw", "id"), F.lit(total)).alias("place"))
+        offsets = list(zip(held, starts))
+    offsets = F.broadcast(spark.createDataFrame(offsets, "slice bigint, offset bigint"))
+    entries = keyed.join(offsets, "slice").groupBy("slice", "offset", "h", "k").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("slice").orderBy("h", F.col("k").isNull(), "k").rowsBetween(Window.unboundedPreceding, -1))
     entries = entries.withColumn("below", F.col("offset") + F.coalesce(before, F.lit(0)))
-    width = F.lit(-(-total // slices)).cast("bigint")
-    drawn = holding(draws.withColumn("w", width), entries.withColumn("w", width), [], "place", "w", ["h", "k", "n", "below"])
+    if few:
+        inside = (F.col("below") <= F.col("place")) & (F.col("place") < F.col("below") + F.col("n"))
+        drawn = entries.join(F.broadcast(draws), "slice").where(inside)
+    else:
+        width = F.lit(-(-total // slices)).cast("bigint")
+        drawn = holding(draws.withColumn("w", width), entries.withColumn("w", width), [], "place", "w", ["h", "k", "n", "below"])
     drawn = written(drawn.select("draw", "h", "k", "n", (F.col("place") - F.col("below")).alias("place")), "drawn")
 
     wide = df.select(hash_key(0, "row", key).alias("_h"), F.struct("*").alias("_row"))
@@ -258,7 +275,7 @@ def level_intervals(df: DataFrame, column: str, spec: CategoricalReweight, stren
     """((strength, level, block, low, high), number of blocks): each level's part of [0, 1) in the interpolated distribution.
 
     Levels stand in their own order; the shares now are counts without nulls, and levels of either side take part. The
-    edges come from prefix sums spread over ranges of levels, whatever their number. A level's interval
+    edges come from prefix sums, spread over ranges of levels where there are many. A level's interval
     stands once in every block of [0, 1) that it reaches; there are about as many blocks as levels, so a uniform draw
     meets two candidates on average.
     """
@@ -270,10 +287,9 @@ def level_intervals(df: DataFrame, column: str, spec: CategoricalReweight, stren
     levels = counts.join(target, "level", "full").select(
         "level", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("t", F.lit(0).cast("decimal(28,18)")).alias("t")
     )
-    levels = written(levels.where("n > 0 OR t > 0"), "levels")
-    number = levels.count()
+    levels = levels.where("n > 0 OR t > 0")
+    sums, number = _summed(levels, kind)
     blocks = min(MOST_BLOCKS, 1 << max(0, number - 1).bit_length())
-    sums = running_sums(levels, [], "level", ["n", "t"])
     share = lambda n: F.coalesce(F.try_divide(n.cast("double"), F.col("n_total")), F.lit(0.0))
     low_n, high_n = share(F.col("n_before")), share(F.col("n_before") + F.col("n"))
     low_t, high_t = F.col("t_before").cast("double"), (F.col("t_before") + F.col("t")).cast("double")
@@ -289,6 +305,20 @@ def level_intervals(df: DataFrame, column: str, spec: CategoricalReweight, stren
     return edges.withColumn("block", F.explode(F.sequence(block(F.col("low")), block(F.col("high"))))), blocks
 
 
+def _summed(levels: DataFrame, kind) -> tuple[DataFrame, int]:
+    """((level, n, t, n_before, n_total, t_before, t_total), number of levels): sums over the levels before each one."""
+    rows = levels.orderBy("level").limit(FEW_LEVELS + 1).collect()
+    if len(rows) > FEW_LEVELS:
+        stored = written(levels, "levels")
+        return running_sums(stored, [], "level", ["n", "t"]), stored.count()
+    n, t = [0, *accumulate(r["n"] for r in rows)], [Decimal(0), *accumulate(r["t"] for r in rows)]
+    sums = [(r["level"], r["n"], r["t"], n[i], n[-1], t[i], t[-1]) for i, r in enumerate(rows)]
+    amount = T.DecimalType(38, 18)
+    fields = [T.StructField("level", kind), T.StructField("n", T.LongType()), T.StructField("t", amount)]
+    fields += [T.StructField(c, T.LongType()) for c in ("n_before", "n_total")] + [T.StructField(c, amount) for c in ("t_before", "t_total")]
+    return levels.sparkSession.createDataFrame(sums, T.StructType(fields)), len(rows)
+
+
 def _reweighted(batch: DataFrame, column: str, intervals: DataFrame, blocks: int, strength: Column, draw: Column) -> DataFrame:
     """The batch with the column's values drawn anew: a join of its draws to the intervals of their block.
 

@@ -4,6 +4,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from retentia.operators import sampling
 from retentia.operators.sampling import (
     BatchPlan,
     CategoricalReweight,
@@ -92,8 +93,9 @@ def test_reweight_adds_new_levels_and_drops_nulls(spark):
     assert {r["x"] for r in out.collect()} == {"x", "z"}
 
 
-@pytest.mark.parametrize("intensity", [0.0, 0.4, 1.0])
-def test_reweight_of_many_levels_tiles_the_unit_interval(spark, intensity):
+@pytest.mark.parametrize("intensity, few", [(0.0, 10), (0.4, 10), (1.0, 10), (0.4, 10_000)])
+def test_reweight_of_many_levels_tiles_the_unit_interval(spark, monkeypatch, intensity, few):
+    monkeypatch.setattr(sampling, "FEW_LEVELS", few)
     n = 3000
     df = spark.range(n).select(F.col("id").alias("draw"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("v"), F.col("id"))).otherwise("hot").alias("x"))
     spec = CategoricalReweight({"hot": 0.2, "zz": 0.3, "v1": 0.5})
@@ -153,8 +155,10 @@ def test_null_labels_are_a_class(spark):
     assert sorted(r["count"] for r in sizes) == [50] * 5
 
 
-def test_bootstrap_of_repeated_and_null_keys(spark):
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_bootstrap_of_repeated_and_null_keys(spark, monkeypatch, few):
     """One key holds a third of the rows, some rows are equal, some keys null: every row is drawn about as often as any other."""
+    monkeypatch.setattr(sampling, "FEW_DRAWS", few)
     parts = ["case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 20 end as k", "case when id % 5 = 0 then -1 else id end as v", "cast(null as string) as draw_note"]
     df = spark.range(600).selectExpr(*parts)
     drawn = bootstrap(df, "k", 6000, seed=3, slices=64)

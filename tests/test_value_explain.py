@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retentia.functions.scalars import direction, merge_maps, prefix_keys, remaining_months, zip_to_map
+from retentia.operators import explain
 from retentia.operators.explain import leaf_paths, readable_feature, top_attributions, tree_contributions
 from retentia.operators.value import ValueRule, retention_portfolio, retention_targets, with_retention_value
 
@@ -119,6 +120,21 @@ def expected_value(nodes, weights, x, known):
     return 2.0 * total
 
 
+def test_leaves_with_and_without_tables_agree(monkeypatch):
+    rng = np.random.default_rng(4)
+    leaves = []
+    for _ in range(30):
+        features = rng.choice(9, size=rng.integers(1, 8), replace=False)
+        path = [(int(f), float(rng.uniform(0.1, 0.9)), [(bool(rng.integers(2)), np.array([rng.uniform()]), -1) for _ in range(rng.integers(1, 3))]) for f in features]
+        leaves.append((float(rng.normal()), path))
+    x = rng.uniform(size=(300, 9))
+    by_table = tree_contributions(x, leaves)
+    monkeypatch.setattr(explain, "TABLE_FEATURES", 3)
+    monkeypatch.setattr(explain, "BLOCK_ROWS", 64)
+    assert np.allclose(by_table, tree_contributions(x, leaves), atol=1e-12)
+    assert tree_contributions(x[:0], leaves).shape == (0, 9)
+
+
 def test_tree_contributions_against_all_coalitions():
     nodes, weights = tree(), {0: 1.0, 1: 0.1}
     leaves = leaf_paths(nodes, weights)
