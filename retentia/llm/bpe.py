@@ -178,7 +178,8 @@ def encode(docs: DataFrame, content: str, text: str = "text", keep: list[str] |
     """``keep`` (all columns by default) with ``ids``: the token ids of each whole text, as the library encodes it
     without special tokens, truncation and padding.
 
-    Null and empty texts and texts of white space get no ids. Repeated rows stay. A column of ``keep`` already
+    Null and empty texts and texts of white space get no ids. Repeated rows stay. Texts of any length are encoded whole; one longer
+    than a chunk is a chunk of its own. A column of ``keep`` already
     named as ``ids`` is replaced. An empty table gives an empty result.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != ids.lower()]

@@ -128,8 +128,8 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """Per row: key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has the last third of the text's characters replaced by as many first ones of the next row's text.
-    Null texts are empty; the only row of a table is its own next row; repeated rows stand next to each other. An
-    empty table gives an empty result.
+    Null texts are empty; the only row of a table is its own next row; repeated rows stand next to each other. Texts of any
+    length count whole. An empty table gives an empty result. Columns other than key and text are not read, whatever their names.
     """
     terms = lexicon(docs, text, settings)
     rows = with_next(docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))

@@ -150,7 +150,7 @@ def identify(docs: DataFrame, model: KernelModel, text: str = "text", keep: list
     """``keep`` (all columns by default) with ``lang_pred`` and ``score``; existing columns of these names are replaced.
 
     ``und`` with score 0 where the text is null, empty or has no letter, or the model knows no language. Each row is
-    scored from its own text alone, so repeated rows agree; ties go to the first language by name.
+    scored from its own text alone, so repeated rows agree; ties go to the first language by name. Texts of any length are read whole.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
     bounded_batches(docs.sparkSession)

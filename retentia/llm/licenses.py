@@ -91,8 +91,8 @@ def scan_licenses(
     ``n_base`` counts the places of the phrases, overlapping ones included; ``first_word`` and ``last_word`` are their
     smallest and largest start, null without a place. ``labels`` adds those of verified spans; labels are distinct,
     sorted and joined by commas, the empty text if there are none. ``score`` is the best coverage of a verified span
-    or phrase, 0 without. Null and empty texts have no words; rows that repeat key and text each get their row; an
-    empty table gives an empty result.
+    or phrase, 0 without. Null and empty texts have no words; texts of any length are scanned whole; rows that repeat key
+    and text each get their row; an empty table gives an empty result. Columns other than key and text are not read, whatever their names.
     """
     words = docs.select(
         F.col(key).alias("_key"),

@@ -7,8 +7,8 @@ registers, drops poor candidates; the links are then confirmed on the full shing
 
 No bucket is expanded into all its pairs. Texts with equal shingle sets are one class. Each bucket first compares its members
 with a hub, the member that meets most others over all bands. Only buckets that still span several components
-go on: there, members of different components are compared in blocks of bounded size, so that no link between
-components is lost whatever the size of a bucket.
+go on: there, members of different components are compared in blocks of a bounded number of members, so that no link between
+components is lost whatever the size of a bucket. A block's memory grows with the length of its texts.
 """
 
 from __future__ import annotations
@@ -293,7 +293,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
 
     Null and empty texts and texts of white space have no shingles and link with nothing. Rows with a null key
     can't be named as partners: component null, kept. Rows that repeat a key are one node, so what their texts
-    link to is connected. An empty table gives an empty result.
+    link to is connected. Texts of any length are compared whole, pieces of 4 MB at a time where they are hashed. An empty table gives an
+    empty result. Columns other than key and text are not read, whatever their names.
     """
     bounded_batches(docs.sparkSession)
     finder = _Finder(docs, key, text, settings)

@@ -216,8 +216,8 @@ k AS (
   SELECT t.doc_id, count(g.p) AS gone, coalesce(string_agg(CASE WHEN g.p IS NULL THEN word END, ' ' ORDER BY t.p), '') AS kept
   FROM t LEFT JOIN g ON g.doc_id = t.doc_id AND g.p = t.p GROUP BY t.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
-  CAST(len(w) - coalesce(gone, 0) AS BIGINT) AS n_kept, coalesce(kept, '') AS kept
-FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+  CAST(len(w) - coalesce(gone, 0) AS BIGINT) AS n_kept, CASE WHEN coalesce(gone, 0) = 0 THEN coalesce(x.text, '') ELSE kept END AS kept
+FROM d JOIN documents x ON x.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
 _CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"

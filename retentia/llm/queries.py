@@ -105,7 +105,7 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that a window of 50 words covers which stands in an earlier document, and what is left."""
     done = wordwindows.remove_repeated_windows(documents(spark, folder).select("doc_id", "text"))
     left = (F.col("n_words") - F.col("n_removed")).alias("n_kept")
-    return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), left, F.col("kept").cast("string").alias("kept"))
+    return done.select("row.doc_id", "n_words", "n_removed", "kept_sha256", left, F.col("kept").cast("string").alias("kept"))
 
 
 @query

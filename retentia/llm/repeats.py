@@ -232,7 +232,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
 
     Every byte goes that is covered by a string of ``length`` bytes that also starts anywhere else in the table;
     strings never cross documents and are judged on the input. Null texts count as empty; texts shorter than
-    ``length`` stay whole; repeated rows are each other's copies. An empty table gives an empty result.
+    ``length`` stay whole; repeated rows are each other's copies. Texts of any length are read whole, a megabyte of windows at a
+    time for their anchors. An empty table gives an empty result, and other columns may have any name.
     """
     bounded_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")

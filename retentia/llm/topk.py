@@ -108,7 +108,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 4) ->
 
     Both inputs are ``whole_vectors``. A query's own row (the same vec_id) is no candidate; fewer than k
     candidates are all returned. Only vectors of the query's length are compared. Rows repeated under one
-    vec_id each take a rank of their own. Empty inputs give an empty result.
+    vec_id each take a rank of their own. Empty inputs give an empty result. Vectors of any length are read whole; other
+    columns of the table were left behind by ``whole_vectors``.
     """
     vectors, queries = written(vectors, "vectors"), written(queries, "queries")
     sizes = [c.select(F.count(F.lit(1)).alias("n")).first()["n"] for c in (vectors, queries)]

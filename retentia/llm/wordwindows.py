@@ -16,6 +16,7 @@ Packed strings and windows are compared by 128 bits.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -160,7 +161,7 @@ def _span_rows(settings: WindowSettings):
 def _kept_rows(settings: WindowSettings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, counts = [], np.zeros((3, batch.num_rows), np.int64)  # words, removed words, spans
+            kept, digests, counts = [], [], np.zeros((3, batch.num_rows), np.int64)  # words, removed words, spans
             for i, (text, spans, copy) in enumerate(zip(batch.column("text"), batch.column("spans"), batch.column("copy"))):
                 raw = text.as_buffer().to_pybytes()
                 start, end = _Words.places(np.frombuffer(raw, np.uint8))
@@ -173,9 +174,12 @@ def _kept_rows(settings: WindowSettings):
                 gone = np.cumsum(edges)[:-1] > 0
                 turns = np.flatnonzero(np.diff(gone.view(np.int8), prepend=np.int8(1), append=np.int8(1)))  # kept stretches start and end here
                 stretches = zip(start[turns[::2]].tolist(), end[turns[1::2] - 1].tolist())
-                kept.append(b" ".join(b" ".join(raw[a:b].split()) for a, b in stretches))
+                words = b" ".join(b" ".join(raw[a:b].split()) for a, b in stretches)
+                kept.append(words if gone.any() else raw)
+                digests.append(hashlib.sha256(words).hexdigest())
                 counts[:, i] = len(start), int(gone.sum()), int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.binary()), *map(pa.array, counts)], ["row", "kept", "n_words", "n_removed", "n_spans"])
+            columns = [batch.column("row"), pa.array(kept, pa.binary()), pa.array(digests, pa.string()), *map(pa.array, counts)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "kept", "kept_sha256", "n_words", "n_removed", "n_spans"])
 
     return run
 
@@ -225,8 +229,10 @@ def repeated_windows(base: DataFrame, owners: DataFrame, settings: WindowSetting
 
 
 def remove_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: WindowSettings = WindowSettings()) -> DataFrame:
-    """All columns of ``docs`` in ``row``, with ``kept`` (the remaining words as bytes, one space between), ``n_words``, ``n_removed`` and ``n_spans``.
+    """All columns of ``docs`` in ``row``, with ``kept``, ``kept_sha256``, ``n_words``, ``n_removed`` and ``n_spans``.
 
+    ``kept`` is the text's bytes as they are where nothing goes, else the remaining words, one space between them; ``kept_sha256`` is the digest of the
+    remaining words, one space between them, in both cases.
     Every word goes that a window covers which also starts in a document with a smaller key; null keys come last. Windows
     are judged on the input. Null and empty texts have no words; texts shorter than a window stay whole, and texts of
     any length are read whole, about a million windows at a time. Repeated rows and documents that share a key do not remove each other; a window
@@ -246,4 +252,4 @@ def remove_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "t
     joined = rows.join(F.broadcast(found) if weight <= FEW else found, F.col("_own") == F.col("_digest"), "left")
     joined = joined.select("row", "text", "spans", F.coalesce(F.col("place") > F.col("owner"), F.lit(False)).alias("copy"))
     kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(releasing(_kept_rows(settings)), f"row {kind}, kept binary, n_words long, n_removed long, n_spans long")
+    return joined.mapInArrow(releasing(_kept_rows(settings)), f"row {kind}, kept binary, kept_sha256 string, n_words long, n_removed long, n_spans long")

@@ -1,5 +1,7 @@
 import corpus_pipeline
+import pytest
 from compare import DATA
+from pyspark.sql import functions as F
 
 from retentia.llm.common import documents, written
 
@@ -36,3 +38,37 @@ def test_documents_that_share_an_id_go_only_as_near_copies(spark):
     assert sorted(t for i, t in out if i == 1) == ["another clean text", "one clean text"]
     assert len([t for i, t in out if i == 2]) == 1 and not [t for i, t in out if i == 3]
     assert sorted(t for i, t in out if i is None) == sorted(["n", near])
+
+
+EXTRA = {"row": "int", "size": "int", "kept": "string", "ids": "string", "place": "int", "score": "double", "_row": "string"}
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_empty_tables_and_extra_columns(spark, name, stage):
+    docs = documents(spark, DATA)
+    wide = docs.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in EXTRA.items()])
+    wide = wide.withColumn("text", F.when(F.col("doc_id") % 97 == 0, F.lit(None)).when(F.col("doc_id") % 89 == 0, "").otherwise(F.col("text")))
+    wide = written(wide.unionByName(wide.where("doc_id % 100 = 0")), "wide")  # repeated rows
+    out, empty = stage(spark, wide, DATA), stage(spark, written(docs.limit(0), "empty"), DATA)
+    assert empty.count() == 0
+    if stage is corpus_pipeline.STAGES[-1][1]:
+        assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded"] and out.count() == wide.count()
+    else:
+        assert out.columns == wide.columns and empty.columns == docs.columns and 0 < out.count()
+
+
+def test_no_document_is_lost_between_stages(spark):
+    """What a stage keeps is what it was given, apart from what the stage is there to change."""
+    docs = written(documents(spark, DATA), "docs")
+    kept = written(corpus_pipeline.language_id(spark, docs, DATA), "kept")
+    assert kept.exceptAll(docs).count() == 0
+    shorter = written(corpus_pipeline.line_dedup(spark, kept, DATA), "shorter")
+    both = shorter.select("doc_id", F.col("text").alias("short"), F.col("n_chars").alias("n")).join(kept, "doc_id")
+    assert both.count() == shorter.count() and both.where("n <> length(short) OR length(short) > length(text)").count() == 0
+    assert both.where("short = text").count() > 0.5 * both.count()
+    single = written(corpus_pipeline.minhash_near_dedup(spark, shorter, DATA), "single")
+    assert single.exceptAll(shorter).count() == 0
+    mixed = written(corpus_pipeline.mix_sources(spark, single, DATA), "mixed")
+    assert mixed.distinct().exceptAll(single.distinct()).count() == 0
+    ids = corpus_pipeline.bpe_tokens(spark, mixed, DATA)
+    assert ids.groupBy("doc_id").count().exceptAll(mixed.groupBy("doc_id").count()).count() == 0

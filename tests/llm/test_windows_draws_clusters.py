@@ -40,9 +40,15 @@ def kept_by_brute_force(texts, length):
     return sorted(out)
 
 
+def words_of(kept):
+    return " ".join(bytes(kept).decode().split())
+
+
 def removed(df, settings=wordwindows.WindowSettings()):
     out = wordwindows.remove_repeated_windows(df, settings=settings).collect()
-    return [(r["row"]["doc_id"], r["n_words"], r["n_removed"], bytes(r["kept"]).decode()) for r in out]
+    assert all(r["kept_sha256"] == hashlib.sha256(words_of(r["kept"]).encode()).hexdigest() for r in out)
+    assert all(bytes(r["kept"]).decode() == (r["row"]["text"] or "") for r in out if not r["n_removed"])
+    return [(r["row"]["doc_id"], r["n_words"], r["n_removed"], words_of(r["kept"])) for r in out]
 
 
 def test_least_of_every_stretch():
