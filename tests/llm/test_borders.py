@@ -47,11 +47,13 @@ def test_long_texts_in_sharding_and_mixing(long_docs, long_text):
     assert sizes[1] == len(long_text.split()) and sizes[4] == 1 and sizes[5] == 0
 
 
-def test_long_texts_in_the_license_scan(long_docs, long_text):
-    out = {r["doc_id"]: r for r in licenses.scan_licenses(long_docs).collect()}
-    place = long_text.split().index("license") - 2
-    assert (out[1]["n_words"], out[1]["n_base"], out[1]["first_word"], out[1]["base_labels"]) == (len(long_text.split()), 1, place, "mit")
-    assert out[3]["n_base"] == 0
+def test_long_texts_in_the_license_scan(spark):
+    """A phrase at the end of 40,000 words."""
+    words = long_words(5, MEGABYTE // 4)
+    docs = spark.createDataFrame([(1, " ".join([*words, "under", "the", "MIT", "license"])), (2, " ".join(words))], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    assert (out[1]["n_words"], out[1]["n_base"], out[1]["first_word"], out[1]["base_labels"]) == (len(words) + 4, 1, len(words) + 1, "mit")
+    assert (out[2]["n_words"], out[2]["n_base"]) == (len(words), 0)
 
 
 def test_long_texts_in_near_duplicates(long_docs):
