@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from retentia.llm import bpe, fingerprints, language, licenses, linededup, mixing, neardup, repeats, sharding, topk
+from retentia.llm.queries import QUERIES
 from retentia.llm.texthash import WordHasher
 
 SCHEMA = "doc_id long, text string, lang string, source string, size int, slot int, shard string, score double, lang_pred string, kept string, ids string, row int, place int"
@@ -214,3 +215,12 @@ def test_top_k_against_brute_force(spark):
         assert [(r["vec_id"], r["score"]) for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])] == [(i, -s) for s, i in scores]
     assert {r["query_id"] for r in out} == {0, 50, 100}
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
+
+
+def test_license_query_counts_the_whole_phrases_of_its_contract(spark, tmp_path):
+    """The license named without "under" is no base place, and a place starts at "under"."""
+    texts = ["see the MIT License", "x, Under the MIT-License! under the mit license", "under the the mit license cc by nc by nc", "Apache License, Version 2.0", "under the mıt license", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r["doc_id"]: tuple(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels")) for r in QUERIES["op3_license_scan"](spark, str(tmp_path)).collect()}
+    none = (0, None, None, "", "")
+    assert out == {0: (4, *none), 1: (9, 2, 1, 5, "mit", "mit"), 2: (10, 1, 5, 5, "cc-by-nc", "cc-by-nc"), 3: (5, 1, 0, 0, "apache-2", "apache-2"), 4: (4, *none), 5: (0, *none)}
