@@ -6,7 +6,7 @@ expressions serve the violation report, the per-row error list and the quarantin
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -77,6 +77,9 @@ def check_columns(df: DataFrame, contract: Contract) -> None:
 
 
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
+# What the casts may take; other texts are not tried, since a cast that fails raises an error inside, which costs far more than the match.
+WHOLE = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"
+WITH_EXPONENT = r"^[\x00-\x20]*[+-]?[\p{Nd}.]+[eE][+-]?\p{Nd}+[\x00-\x20]*$"
 
 
 def _typed(field: Field, kind: str | None = None) -> Column:
@@ -93,8 +96,8 @@ def _typed(field: Field, kind: str | None = None) -> Column:
     text = raw.cast("string")
     zero_fraction = F.when(text.rlike(r"^\s*[+-]?\d+\.0*\s*$"), F.regexp_replace(text, r"\.0*\s*$", "").try_cast("bigint"))
     number = text.try_cast("decimal(38,18)")
-    exponent = F.when(text.rlike("[eE]") & (number == F.floor(number)), number.try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), zero_fraction, exponent)
+    exponent = F.when(text.rlike(WITH_EXPONENT) & (number == F.floor(number)), number.try_cast("bigint"))
+    return F.coalesce(F.when(text.rlike(WHOLE), text.try_cast("bigint")), zero_fraction, exponent)
 
 
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:
@@ -103,11 +106,10 @@ def coerce(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*[_typed(f, kinds.get(f.name)).alias(f.name) for f in contract.fields])
 
 
-def row_rules(contract: Contract, df: DataFrame) -> list[tuple[str, str, Column]]:
-    """(rule, column, "is violated") for every rule that one row of ``df`` can break."""
-    rules, kinds = [], dict(df.dtypes)
-    for f in contract.fields:
-        raw, typed = F.col(f"`{f.name}`"), _typed(f, kinds.get(f.name))
+def _rules(contract: Contract, kinds: Mapping[str, str], values: Sequence[tuple[Column, Column]]) -> list[tuple[str, str, Column]]:
+    """The rules on each field's column as it is and in its declared type."""
+    rules = []
+    for f, (raw, typed) in zip(contract.fields, values, strict=True):
         if f.type != "string":
             fits = kinds.get(f.name) == f.type
             rules.append(("type", f.name, F.lit(False) if fits else raw.isNotNull() & typed.isNull()))
@@ -122,6 +124,16 @@ def row_rules(contract: Contract, df: DataFrame) -> list[tuple[str, str, Column]
     return rules
 
 
+def _values(contract: Contract, kinds: Mapping[str, str]) -> list[tuple[Column, Column]]:
+    return [(F.col(f"`{f.name}`"), _typed(f, kinds.get(f.name))) for f in contract.fields]
+
+
+def row_rules(contract: Contract, df: DataFrame) -> list[tuple[str, str, Column]]:
+    """(rule, column, "is violated") for every rule that one row of ``df`` can break."""
+    kinds = dict(df.dtypes)
+    return _rules(contract, kinds, _values(contract, kinds))
+
+
 def with_errors(df: DataFrame, contract: Contract, column: str = "errors") -> DataFrame:
     """Add the ``rule:column`` names a row breaks, as an array that is empty for a clean row.
 
@@ -151,10 +163,12 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def violations(df: DataFrame, contract: Contract) -> DataFrame:
     """One row (rule, column, n_violations) per rule of the contract, zero counts included.
 
-    All row rules are counted in one aggregation that shuffles one row per task.
+    All row rules are counted in one aggregation that shuffles one row per task. Each value is cast once for all its rules.
     """
-    rules = row_rules(contract, df)
-    row = df.agg(*[F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(rules)])
+    kinds = dict(df.dtypes)
+    typed = [column for i, (raw, value) in enumerate(_values(contract, kinds)) for column in (raw.alias(f"raw{i}"), value.alias(f"typed{i}"))]
+    rules = _rules(contract, kinds, [(F.col(f"raw{i}"), F.col(f"typed{i}")) for i in range(len(contract.fields))])
+    row = df.select(*typed).agg(*[F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(rules)])
     entries = [
         F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("column"), F.col(f"v{i}").alias("n_violations"))
         for i, (rule, name, _) in enumerate(rules)

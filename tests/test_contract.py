@@ -8,6 +8,7 @@ from retentia.operators.contract import (
     ContractViolation,
     Field,
     check_columns,
+    coerce,
     enforce,
     known_values,
     quarantine,
@@ -103,3 +104,15 @@ def test_known_and_unknown_values(spark):
     known = spark.createDataFrame([("a",)], "city string")
     assert [r["city"] for r in known_values(df, "city").collect()] == ["a", "b"]
     assert rows(unknown_values(df, "city", known, "city")) == [("b", 1)]
+
+
+def test_a_value_is_cast_once_for_all_its_rules(spark, capsys):
+    texts = {"7": 7, " +7\n": 7, "7.000": 7, "70e-1": 7, "0.7E1": 7, "7.": 7, "7.0000000000001": None, "75e-1": None, "seven": None, "7e": None, "99999999999999999999": None, "": None, "1e400": None}
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    bounded = Contract((Field("a", "bigint", low=8, high=6),))
+    assert dict(coerce(df.select("a", F.col("a").alias("text")), Contract((Field("text"), Field("a", "bigint")))).collect()) == texts
+    out = violations(df, bounded)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert plan.count(r"\d+\.0*") == 1 and plan.count("as bigint)") == 3
+    assert sorted(r["n_violations"] for r in out.collect()) == [0, 6, 6, 7]
