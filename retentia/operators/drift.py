@@ -8,8 +8,8 @@ The test of a column is declared in the rule, by kind or by column, and never fo
 values were seen:
 
 * ``wasserstein`` (numeric columns; over the reference's standard deviation) and ``jensen_shannon``: drifted when >= 0.1;
-* ``ks`` (two-sample Kolmogorov-Smirnov, numeric columns, asymptotic), ``ks_exact`` (the same without approximation, for small
-  samples: its cost grows with the rows of both sides times the root of their number), ``chi_square`` and ``z_test``
+* ``ks`` (two-sample Kolmogorov-Smirnov, numeric columns, asymptotic), ``ks_exact`` (the same without approximation; its steps
+  grow with the rows of both sides and run in one task per partition of the report, a few microseconds a row), ``chi_square`` and ``z_test``
   (two-sided, two proportions): p-values, drifted when < 0.05.
 
 A test of levels on a numeric column takes its values as levels. ``z_test`` is for columns of two levels: more than two on

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from itertools import combinations
 
-from retentia.functions.stats import _chi_square_tail, _kolmogorov_exact, kolmogorov_tail
+from retentia.functions.stats import _chi_square_tail, _kolmogorov_exact, _stride, _walk, kolmogorov_tail
 from retentia.operators.drift import DriftRule, column_drift, drift_summary, sweep_drift
 from retentia.operators.drift_many import OTHER, many_drift, reference_counts
 
@@ -137,6 +137,31 @@ def test_exact_and_asymptotic_ks_tails_agree_on_large_samples(spark):
         assert _kolmogorov_exact(r["d"], r["a"], r["b"]) == pytest.approx(r["p"], rel=0.1)
 
 
+@pytest.mark.parametrize("n, k", [(2000, 30), (200_000, 300), (200_000, 3162), (200_000, 9000)])
+def test_exact_ks_tail_of_equal_samples_is_the_closed_sum(n, k):
+    """Narrow and wide ranges, and a probability of 1e-176."""
+
+    def term(j):
+        return math.exp(2 * math.lgamma(n + 1) - math.lgamma(n - j * k + 1) - math.lgamma(n + j * k + 1))
+
+    want = 2 * sum((-1) ** (j - 1) * term(j) for j in range(1, min(40, n // k) + 1))
+    assert _kolmogorov_exact(k / n, n, n) == pytest.approx(want, rel=1e-7)
+
+
+def test_exact_ks_tail_below_the_smallest_double_takes_no_steps():
+    assert _kolmogorov_exact(1.0, 2 * 10**8, 3 * 10**9) == 0.0
+    assert _kolmogorov_exact(1.0, 400, 500) == pytest.approx(2 * math.exp(math.lgamma(401) + math.lgamma(501) - math.lgamma(901)), rel=1e-9)
+
+
+@pytest.mark.parametrize("up", [0.5, 0.2])
+def test_a_stride_takes_the_same_steps_at_once(up):
+    steps, width, margin = 200, 3000, 130
+    rise = np.floor(np.arange(steps + 1) * up + 0.3).astype(int)
+    mass = np.random.default_rng(3).random(width)
+    for a, b in zip(_walk(mass, rise, rise + width - 1, up), _stride(mass, rise, rise + width - 1, up, margin), strict=True):
+        assert a == pytest.approx(b, rel=1e-11)
+
+
 def test_ks_tail_of_billions_of_rows_does_not_overflow(spark):
     frame = spark.createDataFrame([(3e-5, 5 * 10**9, 4 * 10**9)], "d double, a bigint, b bigint")
     p = frame.select(kolmogorov_tail(F.col("d"), F.col("a"), F.col("b"))).first()[0]
