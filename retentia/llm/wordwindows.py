@@ -5,10 +5,10 @@ hash; consecutive windows that share a minimiser form one packed string, some 70
 have equal minimisers, so each minimiser is a bucket of its own:
 
 1. Minimisers of one text alone are left out: none of their windows can repeat elsewhere.
-2. The other packed strings travel to their bucket. Equal strings meet there first, so copies are one string with the
-   first document that has it.
-3. In buckets with several strings the strings are cut into windows, whose sort brings equal ones together; the first
-   document of each is exact.
+2. The other packed strings travel to their bucket, as digests with a place where they stand. Equal strings meet there first,
+   so copies are one string with the first document that has it.
+3. In buckets with several strings the strings are cut into windows, each in one text that has it. Equal windows meet; the
+   first document of each is exact.
 
 Buckets are Spark groups with map-side partial results, so a bucket that a third of all documents share isn't gathered anywhere.
 Packed strings and windows are compared by 128 bits.
@@ -99,40 +99,53 @@ def _minimiser_rows(settings: WindowSettings):
     return run
 
 
-def _packed_rows(settings: WindowSettings):
+def _string_rows(settings: WindowSettings):
+    """The packed strings of a text, each as a digest of its words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for digest, text, runs in zip(batch.column("digest"), batch.column("text"), batch.column("runs")):
+            for row, (text, runs) in enumerate(zip(batch.column("text"), batch.column("runs"))):
                 raw = text.as_buffer().to_pybytes()
                 start, end = _Words.places(np.frombuffer(raw, np.uint8))
                 for a in range(0, len(runs.values), ROWS):
                     part = runs.values.slice(a, ROWS)
                     first, n = part.field("first").to_numpy(), part.field("n").to_numpy()
                     ends = end[first + n + settings.length - 2]
-                    packed = [b" ".join(raw[i:j].split()) for i, j in zip(start[first].tolist(), ends.tolist())]
-                    columns = [pa.array([digest.as_py()] * len(part), pa.binary()), *(part.field(c) for c in ("minimiser", "first", "n")), pa.array(packed, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["digest", "minimiser", "first", "n", "packed"])
+                    digests = [hashlib.md5(b" ".join(raw[i:j].split())).digest() for i, j in zip(start[first].tolist(), ends.tolist())]
+                    halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    same = pa.array(np.full(len(part), row))
+                    columns = [*(batch.column(c).take(same) for c in ("digest", "owner")), *(part.field(c) for c in ("minimiser", "first", "n"))]
+                    columns += [pa.array(np.ascontiguousarray(halves[:, i])) for i in (0, 1)]
+                    yield pa.RecordBatch.from_arrays(columns, ["digest", "owner", "minimiser", "first", "n", "string", "second"])
 
     return run
 
 
 def _window_rows(settings: WindowSettings):
+    """The windows of the strings that are listed beside a text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = _Words(2), _Words(3)
         for batch in batches:
-            column = batch.column("packed").cast(pa.large_binary())
-            starts = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            column = batch.column("text").cast(pa.large_binary())
             if not len(column):
                 continue
+            starts = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
             data = np.frombuffer(column.buffers()[2], np.uint8)[starts[0] : starts[-1]]
             words, first = one.hasher(data, starts - starts[0])
-            n = np.diff(first) - settings.length + 1  # windows of each string
-            own = np.repeat(np.arange(len(n)), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            hashes = [shingle_hashes(w, settings.length)[first[:-1][own] + at] for w in (words, two.hasher(data, starts - starts[0])[0])]
-            columns = [batch.column(c).take(pa.array(own)) for c in ("string", "second", "owner")]
-            columns += [pa.array(at, pa.int32()), *(pa.array(h.view(np.int64)) for h in hashes)]
-            yield pa.RecordBatch.from_arrays(columns, ["string", "second", "owner", "at", "window", "other"])
+            hashes = [shingle_hashes(w, settings.length) for w in (words, two.hasher(data, starts - starts[0])[0])]
+            lists = batch.column("strings")
+            strings = lists.flatten()
+            begin = np.repeat(first[:-1], lists.value_lengths().to_numpy()) + strings.field("first").to_numpy()
+            for a in range(0, len(strings), ROWS):
+                part = strings.slice(a, ROWS)
+                n = part.field("n").to_numpy().astype(np.int64)  # windows of each string
+                own = np.repeat(np.arange(len(n)), n)
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                place = begin[a : a + ROWS][own] + at
+                columns = [part.field(c).take(pa.array(own)) for c in ("string", "second", "owner")]
+                columns += [pa.array(at, pa.int32()), *(pa.array(h[place].view(np.int64)) for h in hashes)]
+                yield pa.RecordBatch.from_arrays(columns, ["string", "second", "owner", "at", "window", "other"])
 
     return run
 
@@ -184,6 +197,13 @@ def _kept_rows(settings: WindowSettings):
     return run
 
 
+def _texts(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (one row per digest) with the text, once per digest."""
+    ids = wanted.select("digest")
+    some = base.join(F.broadcast(ids) if ids.count() <= FEW else ids, "digest", "left_semi")
+    return some.groupBy("digest").agg(F.first("text").alias("text")).join(wanted, "digest")
+
+
 def repeated_windows(base: DataFrame, owners: DataFrame, settings: WindowSettings = WindowSettings()) -> DataFrame:
     """(digest, spans): the words of each text that windows cover which also start in a document before the text's first one.
 
@@ -198,21 +218,19 @@ def repeated_windows(base: DataFrame, owners: DataFrame, settings: WindowSetting
     runs = matched(found, shared, ["minimiser"], FEW).groupBy("digest").agg(F.collect_set(F.struct("first", "n", "minimiser")).alias("runs"))
     runs = written(runs, "runs")
 
-    ids = runs.select("digest")
-    texts = base.join(F.broadcast(ids) if ids.count() <= FEW else ids, "digest", "left_semi")
-    texts = texts.groupBy("digest").agg(F.first("text").alias("text")).join(runs, "digest")
-    packed = texts.mapInArrow(releasing(_packed_rows(settings)), "digest binary, minimiser long, first int, n int, packed binary")
-    packed = packed.withColumn("string", F.xxhash64("packed")).withColumn("second", F.xxhash64(F.lit(1), "packed"))
-    packed = written(packed, "packed")
-    owned = written(packed.select("digest", "first", "n", "string", "second").join(owners, "digest"), "owned")
-
-    strings = owned.groupBy("string", "second").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("n_rows"))
-    bodies = packed.groupBy("string", "second").agg(F.min(F.struct("minimiser", "packed")).alias("body"))
-    strings = written(strings.join(bodies, ["string", "second"]).select("string", "second", "owner", "n_rows", "body.*"), "strings")
+    kind = owners.schema["owner"].dataType.simpleString()
+    texts = _texts(base, runs).join(owners, "digest")
+    owned = texts.mapInArrow(releasing(_string_rows(settings)), f"digest binary, owner {kind}, minimiser long, first int, n int, string long, second long")
+    owned = written(owned, "owned")
+
+    place = F.min(F.struct("digest", "first", "n", "minimiser")).alias("place")
+    strings = owned.groupBy("string", "second").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("n_rows"), place)
+    strings = written(strings.select("string", "second", "owner", "n_rows", "place.*"), "strings")
     crowded = strings.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
     crowded = matched(strings.drop("n_rows"), written(crowded, "crowded"), ["minimiser"], FEW)
-    kind = strings.schema["owner"].dataType.simpleString()
-    windows = crowded.mapInArrow(releasing(_window_rows(settings)), f"string long, second long, owner {kind}, at int, window long, other long")
+    lists = crowded.groupBy("digest").agg(F.collect_list(F.struct("first", "n", "string", "second", "owner")).alias("strings"))
+    lists = written(lists, "crowded-strings")
+    windows = _texts(base, lists).mapInArrow(releasing(_window_rows(settings)), f"string long, second long, owner {kind}, at int, window long, other long")
     windows = written(windows, "windows")
     groups = windows.groupBy("window", "other").agg(F.min("owner").alias("earliest"), F.max("owner").alias("latest"), F.count(F.lit(1)).alias("n_rows"))
     groups = written(groups.where(F.col("earliest") < F.col("latest")).drop("latest"), "window-groups")

@@ -105,6 +105,21 @@ def test_windows_by_shuffle_and_by_broadcast(spark, monkeypatch, few):
     assert sorted(removed(clashing(spark, texts))) == kept_by_brute_force(texts, 50)
 
 
+def test_stored_tables_hold_places_and_digests_only(spark, monkeypatch):
+    """Packed strings overlap: written out they are larger than the texts, in every task's memory as well."""
+    stored, write = {}, wordwindows.written
+
+    def recorded(df, name):
+        stored[name] = {f.name for f in df.schema if f.dataType.simpleString() in ("binary", "string")}
+        return write(df, name)
+
+    monkeypatch.setattr(wordwindows, "written", recorded)
+    passage = words(3, 70)
+    texts = [(i, " ".join(words(i, 10) + passage + words(i + 500, 10 + i))) for i in range(30)]
+    assert sorted(removed(clashing(spark, texts))) == kept_by_brute_force(texts, 50)
+    assert {"minimisers", "owned", "strings", "windows"} <= set(stored) and set().union(*stored.values()) == {"digest"}
+
+
 def drawn_by_brute_force(docs, target, settings):
     def features(text):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
